@@ -18,7 +18,7 @@ from sparkwright.functions.hashing import SPAN
 RANGES = 256
 
 
-def _range_offsets(df: DataFrame, group: Sequence[str], sums: dict[str, str]) -> DataFrame:
+def _range_offsets(df: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Per (group, range): the sums over all earlier ranges of the group."""
     totals = df.groupBy(*group, "_range").agg(*[F.sum(c).alias(c) for c in sums])
     before = (
@@ -26,10 +26,20 @@ def _range_offsets(df: DataFrame, group: Sequence[str], sums: dict[str, str]) ->
         .orderBy("_range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    whole = Window.partitionBy(*group)
-    cols = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sums]
-    cols += [F.sum(c).over(whole).alias(f"{name}_total") for c, name in sums.items()]
-    return totals.select(*group, "_range", *cols)
+    return totals.select(
+        *group,
+        "_range",
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
+    )
+
+
+def _range_index(key: str, step: int) -> Column:
+    """Number of bounds below the key: first among every ``step``-th bound, then
+    among the ``step`` bounds after it. Never NULL, so no join filter repeats it."""
+    below = lambda b: b < F.col(key)
+    coarse = F.size(F.filter("_coarse", below))
+    fine = F.size(F.filter(F.slice("_bounds", coarse * step + 1, step), below))
+    return F.coalesce(coarse * step + fine, F.lit(0))
 
 
 def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -53,12 +63,23 @@ def prefix_sums(
     ``df`` must hold one row per (group, key).
     """
     df, g = _with_group(df, group)
-    cuts = [i / ranges for i in range(1, ranges)]
-    bounds = df.groupBy(*g).agg(F.percentile_approx(key, cuts, 10000).alias("_bounds"))
+    cuts = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+    step = 16
+    coarse = F.expr("array(" + ", ".join(f"_bounds[{i - 1}]" for i in range(step, ranges, step)) + ")")
+    # The totals ride along, which also keeps this plan's input identical to the
+    # main one, so Spark reuses its exchange instead of scanning again.
+    bounds = (
+        df.groupBy(*g)
+        .agg(
+            F.expr(f"percentile_approx(`{key}`, array({cuts}), 10000)").alias("_bounds"),
+            *[F.sum(c).alias(f"{name}_total") for c, name in sums.items()],
+        )
+        .withColumn("_coarse", coarse)
+    )
     ranged = (
         df.join(bounds, g)
-        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(key))))
-        .drop("_bounds")
+        .withColumn("_range", _range_index(key, step))
+        .drop("_bounds", "_coarse")
     )
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))
@@ -66,7 +87,7 @@ def prefix_sums(
     before = (
         Window.partitionBy(*g, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    out = ranged.join(_range_offsets(ranged, g, sums), [*g, "_range"])
+    out = ranged.join(_range_offsets(ranged, g, list(sums)), [*g, "_range"])
     for c, name in sums.items():
         inner = F.coalesce(F.sum(c).over(before), F.lit(0))
         out = out.withColumn(f"{name}_before", F.col(f"_off_{c}") + inner)
@@ -92,11 +113,11 @@ def hash_rank(
         "_range", F.floor(F.col("_hash") * F.lit(ranges) / F.lit(SPAN)).cast("int")
     )
     counted = ranged.select(*g, "_range").withColumn("_n", F.lit(1).cast("bigint"))
-    offsets = _range_offsets(counted, g, {"_n": "_n"})
+    offsets = _range_offsets(counted, g, ["_n"])
     inner = F.row_number().over(Window.partitionBy(*g, "_range").orderBy("_hash", tie))
     out = ranged.withColumn("_inner", inner).join(offsets, [*g, "_range"])
     return out.withColumn(name, (F.col("_off__n") + F.col("_inner")).cast("bigint")).drop(
-        "_all", "_hash", "_range", "_inner", "_off__n", "_n_total"
+        "_all", "_hash", "_range", "_inner", "_off__n"
     )
 
 
