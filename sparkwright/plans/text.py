@@ -10,7 +10,7 @@ from sparkwright.operators import ranking as R
 from sparkwright.plans import sqlparts as Q
 from sparkwright.plans.registry import query
 from sparkwright.plans.shaping import labelled_docs
-from sparkwright.session import load
+from sparkwright.session import load, materialize
 
 LINKS = Q.links_gone("text")
 CASED = "list_filter({w}, lambda w: w = {f}(w) AND w <> {g}(w))"
@@ -171,6 +171,8 @@ def clean_text(spark, d):
 )
 def clean_corpus(spark, d):
     docs = load(spark, d, "documents").select("doc_id", T.clean_text("text").alias("text_cleaned"))
+    # The rewrite is the dear part: write it once instead of once per use below.
+    docs = materialize(docs, "cleaned")
     kept = R.dedupe_keep_first(docs.where(F.col("text_cleaned") != ""), "text_cleaned", "doc_id")
     return kept.select("doc_id", F.md5(F.col("text_cleaned").cast("binary")).alias("text_md5"))
 
