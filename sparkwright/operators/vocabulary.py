@@ -42,13 +42,11 @@ def bow_pivot(df: DataFrame, key: str, tokens: Column, words: Sequence[str]) ->
     """Dense document x word counts for a given word list; no shuffle, and documents
     without any of the words keep a row of zeros."""
     base = df.select(key, tokens.alias("_t"))
-    return base.select(
-        key,
-        *[
-            F.size(F.filter("_t", lambda t, w=w: t == w)).cast("bigint").alias(w)
-            for w in words
-        ],
-    )
+
+    def count_of(word: str) -> Column:
+        return F.size(F.filter("_t", lambda t: t == F.lit(word))).cast("bigint").alias(word)
+
+    return base.select(key, *[count_of(w) for w in words])
 
 
 def with_bigrams(tokens: Column | str) -> Column:
