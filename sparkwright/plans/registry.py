@@ -30,7 +30,6 @@ def load_all() -> None:
         bayes,
         evaluation,
         explaining,
-        features,
         files,
         joining,
         models,
