@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from sparkwright.functions.stopwords import default_stop_words
 
 # The character classes and patterns that define the counts.
-WORD_CHARS = r"\p{L}\p{N}_"
+# ASCII ranges come first: the class is tested left to right, property look-ups last.
+WORD_CHARS = r"a-zA-Z0-9_\p{L}\p{N}"
 SPACE_CHARS = r"\t-\r\x1c-\x20\x85\p{Z}"
 MAIL = rf"[<\[(]?[{WORD_CHARS}][{WORD_CHARS}.-]+@[{WORD_CHARS}.]+[>\])]?[:=]?[0-9]{{0,}}"
 URL = (
@@ -24,7 +25,9 @@ URL = (
 MENTION = rf"@[{WORD_CHARS}.-]+"
 HASHTAG = rf"#[{WORD_CHARS}]+"
 TAG = r"<[^>]+>"
-SPECIAL = r"[{.()!:,=/<>?}-]"
+NO_MATCH = r"(?!)"
+SPECIAL = r"[{.()!:,=/<>?}-]+"
+NON_LETTER = rf"[^a-zA-Z{SPACE_CHARS}]+"
 PUNCT = rf"[^{WORD_CHARS}{SPACE_CHARS}]"
 DIGIT = r"\p{Nd}"
 ALPHA = r"[a-zA-Z]"
@@ -34,8 +37,8 @@ WORDS = rf"[{WORD_CHARS}]+"
 WORD_OR_PUNCT = rf"[{WORD_CHARS}]+|[^{WORD_CHARS}{SPACE_CHARS}]+"
 KEPT_WORD = r"\b[a-z]{4,39}\b"
 MARKUP = (
-    r"(?is)<!--.*?-->|<script\b[^>]*>.*?(?:</script[^>]*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style[^>]*>|\z)|</?[a-z!?][^>]*>"
+    r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?(?:</script[^>]*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style[^>]*>|\z)|/?[a-z!?][^>]*>)"
 )
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 NAMED_ENTITY = r"&[a-zA-Z][a-zA-Z0-9]*;"
@@ -57,6 +60,14 @@ def _drop(c: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(c, pattern, to)
 
 
+def _mail_pattern(raw: Column) -> Column:
+    """The mail pattern for texts that can hold an address, a pattern without matches
+    for the others: its search starts a scan at every word. The choice sits in the
+    pattern argument so that the text expression is not repeated per branch."""
+    possible = F.contains(raw, F.lit("@")) | F.contains(raw, F.lit("&#"))
+    return F.when(possible, F.lit(MAIL)).otherwise(F.lit(NO_MATCH))
+
+
 def collapse_space(c: str | Column) -> Column:
     return F.trim(_drop(_c(c), SPACES, " "))
 
@@ -100,7 +111,9 @@ def digit_count(c: str | Column) -> Column:
 
 
 def alpha_count(c: str | Column) -> Column:
-    return _hits(c, ALPHA)
+    """Letters a-z and A-Z: the length lost when their runs are removed."""
+    t = _c(c)
+    return (F.length(t) - F.length(_drop(t, ALPHA + "+"))).cast("bigint")
 
 
 def drop_link_prefixes(c: str | Column) -> Column:
@@ -112,7 +125,7 @@ def tag_count(c: str | Column) -> Column:
 
 
 def email_count(c: str | Column) -> Column:
-    return _hits(drop_link_prefixes(c), MAIL)
+    return F.regexp_count(drop_link_prefixes(c), _mail_pattern(_c(c))).cast("bigint")
 
 
 def url_count(c: str | Column) -> Column:
@@ -147,19 +160,17 @@ TEXT_MEASURES = {
 
 def _ascii_references(c: Column) -> Column:
     """Decode decimal references below 128; others stand for characters that the
-    letter filter removes anyway, so they become nothing."""
-    number = r"&#([0-9]+);"
-    codes = F.regexp_extract_all(c, F.lit(number), F.lit(1))
-    pieces = F.split(c, r"&#[0-9]+;", -1)
+    letter filter removes anyway, so they become nothing. The text is cut at its
+    references once and each piece brings its number along."""
+    pieces = F.split(F.regexp_replace(c, r"&#([0-9]+);", "\u0000$1\u0001"), "\u0000", -1)
 
-    def glue(piece: Column, code: Column) -> Column:
-        n = code.try_cast("int")
+    def decode(piece: Column, i: Column) -> Column:
+        n = F.substring_index(piece, "\u0001", 1).try_cast("int")
         char = F.when(n.between(1, 127), F.char(n)).when(n == 160, F.lit(" ")).otherwise(F.lit(""))
-        return F.concat(piece, F.coalesce(char, F.lit("")))
+        rest = F.regexp_replace(piece, "^[0-9]+\u0001", "")
+        return F.when(i == 0, piece).otherwise(F.concat(F.coalesce(char, F.lit("")), rest))
 
-    return F.when(
-        F.contains(c, F.lit("&#")), F.array_join(F.zip_with(pieces, codes, glue), "")
-    ).otherwise(c)
+    return F.array_join(F.transform(pieces, decode), "")
 
 
 def strip_markup(c: str | Column) -> Column:
@@ -175,11 +186,11 @@ def strip_markup(c: str | Column) -> Column:
 
 def letters_only(c: str | Column) -> Column:
     """All rewrites up to the point where only lower-case letters and spaces are left."""
-    t = strip_markup(drop_link_prefixes(c))
-    for pattern in (MAIL, URL, MENTION, HASHTAG):
+    t = F.regexp_replace(strip_markup(drop_link_prefixes(c)), _mail_pattern(_c(c)), F.lit(""))
+    for pattern in (URL, MENTION, HASHTAG):
         t = _drop(t, pattern)
     t = _drop(F.lower(t), SPECIAL, " ")
-    return _drop(t, rf"[^a-zA-Z{SPACE_CHARS}]")
+    return _drop(t, NON_LETTER)
 
 
 def clean_tokens(c: str | Column, stop_words: Iterable[str] | None = None) -> Column:

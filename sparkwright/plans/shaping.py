@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators import shape as S
 from sparkwright.plans.registry import query
-from sparkwright.session import load
+from sparkwright.session import load, load_texts
 
 
 def labelled_docs(spark, d, label="toxic"):
     """documents JOIN labels with one label column."""
-    docs = load(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    docs = load_texts(spark, d, "documents", "doc_id").select("doc_id", "text", "lang", "n_chars")
     labels = load(spark, d, "labels").select("doc_id", F.col(label).alias("label"))
     return docs.join(labels, "doc_id")
 

@@ -47,7 +47,7 @@ def letters_only(x: str) -> str:
     for p in (T.MAIL, T.URL, T.MENTION, T.HASHTAG):
         t = gone(t, p)
     t = gone(f"lower({t})", T.SPECIAL, " ")
-    return gone(t, rf"[^a-zA-Z{T.SPACE_CHARS}]")
+    return gone(t, T.NON_LETTER)
 
 
 def clean_tokens(x: str) -> str:

@@ -10,7 +10,7 @@ from sparkwright.operators import ranking as R
 from sparkwright.plans import sqlparts as Q
 from sparkwright.plans.registry import query
 from sparkwright.plans.shaping import labelled_docs
-from sparkwright.session import load, materialize
+from sparkwright.session import load, load_texts, materialize
 
 LINKS = Q.links_gone("text")
 CASED = "list_filter({w}, lambda w: w = {f}(w) AND w <> {g}(w))"
@@ -149,7 +149,7 @@ def features_log_hist(spark, d):
 )
 def clean_text(spark, d):
     def cleaned(table, key, column, kind):
-        return load(spark, d, table).select(
+        return load_texts(spark, d, table, key).select(
             F.lit(kind).alias("kind"),
             F.col(key).alias("id"),
             F.md5(T.clean_text(column).cast("binary")).alias("text_md5"),
@@ -170,7 +170,7 @@ def clean_text(spark, d):
     """,
 )
 def clean_corpus(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", T.clean_text("text").alias("text_cleaned"))
+    docs = load_texts(spark, d, "documents", "doc_id").select("doc_id", T.clean_text("text").alias("text_cleaned"))
     # The rewrite is the dear part: write it once instead of once per use below.
     docs = materialize(docs, "cleaned")
     kept = R.dedupe_keep_first(docs.where(F.col("text_cleaned") != ""), "text_cleaned", "doc_id")

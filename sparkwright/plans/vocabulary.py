@@ -11,7 +11,7 @@ from sparkwright.operators import vocabulary as V
 from sparkwright.plans import sqlparts as Q
 from sparkwright.plans.registry import query
 from sparkwright.plans.shaping import labelled_docs
-from sparkwright.session import load, materialize
+from sparkwright.session import load, load_texts, materialize
 
 PIVOT_WORDS = ["that", "with", "this", "avec", "dans", "nicht", "para", "como"]
 
@@ -22,12 +22,12 @@ def labelled_tokens(spark, d):
 
 
 def all_words(spark, d):
-    return V.explode_tokens(load(spark, d, "documents"), T.word_tokens("text"), ["doc_id"])
+    return V.explode_tokens(load_texts(spark, d, "documents", "doc_id"), T.word_tokens("text"), ["doc_id"])
 
 
 def clean_counts(spark, d, bigrams=True):
     """(doc_id, term, tf) over all documents."""
-    docs = load(spark, d, "documents").select("doc_id", T.clean_tokens("text").alias("toks"))
+    docs = load_texts(spark, d, "documents", "doc_id").select("doc_id", T.clean_tokens("text").alias("toks"))
     return V.term_counts(docs, V.with_bigrams("toks") if bigrams else F.col("toks"), ["doc_id"])
 
 
@@ -85,7 +85,7 @@ def vocab_size(spark, d):
     + f" FROM (SELECT doc_id, regexp_extract_all(lower(text), {Q.q(T.WORDS)}) AS t FROM documents)",
 )
 def bow_pivot(spark, d):
-    return V.bow_pivot(load(spark, d, "documents"), "doc_id", T.word_tokens("text"), PIVOT_WORDS)
+    return V.bow_pivot(load_texts(spark, d, "documents", "doc_id"), "doc_id", T.word_tokens("text"), PIVOT_WORDS)
 
 
 @query(
@@ -108,7 +108,7 @@ def bow_counts(spark, d):
     f"WITH {Q.CLEAN_ALL}, {Q.terms()} SELECT term, count(*) AS n FROM term GROUP BY term",
 )
 def ngrams_1_2(spark, d):
-    docs = load(spark, d, "documents").select(T.clean_tokens("text").alias("toks"))
+    docs = load_texts(spark, d, "documents", "doc_id").select(T.clean_tokens("text").alias("toks"))
     grams = docs.select(F.explode(V.with_bigrams("toks")).alias("term"))
     return grams.groupBy("term").agg(F.count("*").alias("n"))
 
@@ -180,7 +180,7 @@ IDS = f"""
 
 def _ids(spark, d):
     vocab = materialize(V.vocab_rank(all_words(spark, d), "word"), "vocab")
-    return V.texts_to_ids(load(spark, d, "documents"), "doc_id", T.word_tokens("text"), vocab)
+    return V.texts_to_ids(load_texts(spark, d, "documents", "doc_id"), "doc_id", T.word_tokens("text"), vocab)
 
 
 @query(

@@ -28,6 +28,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def load_texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows cost much CPU. A small file can be one single split; such an
+    input is spread over the cores by key. Inputs with a split per core or more - any
+    large table - are left where they are, so nothing is shuffled there."""
+    df = load(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
