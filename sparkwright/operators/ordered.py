@@ -33,13 +33,21 @@ def _range_offsets(df: DataFrame, group: Sequence[str], sums: Sequence[str]) ->
     )
 
 
-def _range_index(key: str, step: int) -> Column:
-    """Number of bounds below the key: first among every ``step``-th bound, then
-    among the ``step`` bounds after it. Never NULL, so no join filter repeats it."""
-    below = lambda b: b < F.col(key)
-    coarse = F.size(F.filter("_coarse", below))
-    fine = F.size(F.filter(F.slice("_bounds", coarse * step + 1, step), below))
-    return F.coalesce(coarse * step + fine, F.lit(0))
+def _locate(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    """Add ``_range``: how many of the ``ranges - 1`` sorted bounds lie below the key.
+    A binary search written as one cheap projection per step, all inside codegen."""
+    if ranges & (ranges - 1):
+        raise ValueError("ranges must be a power of two")
+    out = df.withColumn("_range", F.lit(0))
+    step = ranges // 2
+    while step:
+        pivot = F.col("_bounds")[F.col("_range") + (step - 1)]
+        out = out.withColumn(
+            "_range",
+            F.when(pivot < F.col(key), F.col("_range") + step).otherwise(F.col("_range")),
+        )
+        step //= 2
+    return out.drop("_bounds")
 
 
 def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -49,6 +57,13 @@ def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[st
     return df.withColumn("_all", F.lit(0)), ["_all"]
 
 
+def _known_small(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Mark a per-group table for broadcast only where the schema bounds its size: one
+    group, or one per unpivoted column. Other group keys are left to Spark, which
+    checks sizes at run time and splits skewed join partitions."""
+    return F.broadcast(df) if set(group) <= {"_all", "column"} else df
+
+
 def prefix_sums(
     df: DataFrame,
     key: str,
@@ -64,8 +79,6 @@ def prefix_sums(
     """
     df, g = _with_group(df, group)
     cuts = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
-    step = 16
-    coarse = F.expr("array(" + ", ".join(f"_bounds[{i - 1}]" for i in range(step, ranges, step)) + ")")
     # The totals ride along, which also keeps this plan's input identical to the
     # main one, so Spark reuses its exchange instead of scanning again.
     bounds = (
@@ -74,20 +87,16 @@ def prefix_sums(
             F.expr(f"percentile_approx(`{key}`, array({cuts}), 10000)").alias("_bounds"),
             *[F.sum(c).alias(f"{name}_total") for c, name in sums.items()],
         )
-        .withColumn("_coarse", coarse)
-    )
-    ranged = (
-        df.join(bounds, g)
-        .withColumn("_range", _range_index(key, step))
-        .drop("_bounds", "_coarse")
     )
+    ranged = _locate(df.join(_known_small(bounds, g), g), key, ranges)
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))
     order = F.col(key).desc() if descending else F.col(key).asc()
     before = (
         Window.partitionBy(*g, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    out = ranged.join(_range_offsets(ranged, g, list(sums)), [*g, "_range"])
+    offsets = _known_small(_range_offsets(ranged, g, list(sums)), g)
+    out = ranged.join(offsets, [*g, "_range"])
     for c, name in sums.items():
         inner = F.coalesce(F.sum(c).over(before), F.lit(0))
         out = out.withColumn(f"{name}_before", F.col(f"_off_{c}") + inner)
@@ -113,7 +122,7 @@ def hash_rank(
         "_range", F.floor(F.col("_hash") * F.lit(ranges) / F.lit(SPAN)).cast("int")
     )
     counted = ranged.select(*g, "_range").withColumn("_n", F.lit(1).cast("bigint"))
-    offsets = _range_offsets(counted, g, ["_n"])
+    offsets = _known_small(_range_offsets(counted, g, ["_n"]), g)
     inner = F.row_number().over(Window.partitionBy(*g, "_range").orderBy("_hash", tie))
     out = ranged.withColumn("_inner", inner).join(offsets, [*g, "_range"])
     return out.withColumn(name, (F.col("_off__n") + F.col("_inner")).cast("bigint")).drop(
