@@ -50,18 +50,11 @@ def _locate(df: DataFrame, key: str, ranges: int) -> DataFrame:
     return out.drop("_bounds")
 
 
-def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """A constant key keeps the ungrouped case on the same code path."""
-    if group:
-        return df, list(group)
-    return df.withColumn("_all", F.lit(0)), ["_all"]
-
-
 def _known_small(df: DataFrame, group: Sequence[str]) -> DataFrame:
     """Mark a per-group table for broadcast only where the schema bounds its size: one
     group, or one per unpivoted column. Other group keys are left to Spark, which
     checks sizes at run time and splits skewed join partitions."""
-    return F.broadcast(df) if set(group) <= {"_all", "column"} else df
+    return F.broadcast(df) if set(group) <= {"column"} else df
 
 
 def prefix_sums(
@@ -77,18 +70,20 @@ def prefix_sums(
 
     ``df`` must hold one row per (group, key).
     """
-    df, g = _with_group(df, group)
+    g = list(group)
     cuts = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
     # The totals ride along, which also keeps this plan's input identical to the
     # main one, so Spark reuses its exchange instead of scanning again.
-    bounds = (
-        df.groupBy(*g)
-        .agg(
-            F.expr(f"percentile_approx(`{key}`, array({cuts}), 10000)").alias("_bounds"),
-            *[F.sum(c).alias(f"{name}_total") for c, name in sums.items()],
-        )
-    )
-    ranged = _locate(df.join(_known_small(bounds, g), g), key, ranges)
+    summary = [
+        F.expr(f"percentile_approx(`{key}`, array({cuts}), 10000)").alias("_bounds"),
+        *[F.sum(c).alias(f"{name}_total") for c, name in sums.items()],
+    ]
+    if g:
+        ranged = df.join(_known_small(df.groupBy(*g).agg(*summary), g), g)
+    else:
+        one = df.agg(F.struct(*summary)).scalar()
+        ranged = df.withColumn("_one", one).select(*df.columns, "_one.*")
+    ranged = _locate(ranged, key, ranges)
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))
     order = F.col(key).desc() if descending else F.col(key).asc()
@@ -100,8 +95,7 @@ def prefix_sums(
     for c, name in sums.items():
         inner = F.coalesce(F.sum(c).over(before), F.lit(0))
         out = out.withColumn(f"{name}_before", F.col(f"_off_{c}") + inner)
-    out = out.drop("_range", *[f"_off_{c}" for c in sums])
-    return out.drop("_all")
+    return out.drop("_range", *[f"_off_{c}" for c in sums])
 
 
 def hash_rank(
@@ -117,7 +111,7 @@ def hash_rank(
     The hash is uniform, so equal slices of its span are balanced ranges and a
     class with most of the rows is spread over ``ranges`` window partitions.
     """
-    df, g = _with_group(df, group)
+    g = list(group)
     ranged = df.withColumn("_hash", hashed).withColumn(
         "_range", F.floor(F.col("_hash") * F.lit(ranges) / F.lit(SPAN)).cast("int")
     )
@@ -126,7 +120,7 @@ def hash_rank(
     inner = F.row_number().over(Window.partitionBy(*g, "_range").orderBy("_hash", tie))
     out = ranged.withColumn("_inner", inner).join(offsets, [*g, "_range"])
     return out.withColumn(name, (F.col("_off__n") + F.col("_inner")).cast("bigint")).drop(
-        "_all", "_hash", "_range", "_inner", "_off__n"
+        "_hash", "_range", "_inner", "_off__n"
     )
 
 
