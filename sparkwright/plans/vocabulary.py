@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sparkwright.functions import text as T
@@ -147,11 +148,29 @@ def tfidf_transform(spark, d):
     return weights.select("doc_id", "is_test", "term", F.round("w", 8).alias("w"))
 
 
-@query("to_sparse_vector")
+@query(
+    "to_sparse_vector",
+    f"""
+    WITH {Q.TFIDF}, ix AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM vocab)
+    SELECT doc_id, CAST(count(*) AS BIGINT) AS filled, round(sum(w), 6) AS weight_sum,
+           round(sum(w * idx), 3) AS index_sum
+    FROM tfidf t JOIN ix ON t.term = ix.term GROUP BY doc_id
+    """,
+)
 def to_sparse_vector(spark, d):
     fit, weights = fitted_tfidf(spark, d)
     vocab = V.index_terms(fit).select("term", "idx")
-    return V.to_sparse_vector(weights, "doc_id", vocab, V.MAX_FEATURES)
+    vectors = V.to_sparse_vector(weights, "doc_id", vocab, V.MAX_FEATURES)
+    slots = vectors.withColumn("x", vector_to_array("features"))
+    total = F.lit(0.0)
+    return slots.select(
+        "doc_id",
+        F.size(F.filter("x", lambda v: v != 0)).cast("bigint").alias("filled"),
+        F.round(F.aggregate("x", total, lambda a, v: a + v), 6).alias("weight_sum"),
+        F.round(
+            F.aggregate(F.transform("x", lambda v, i: v * i), total, lambda a, v: a + v), 3
+        ).alias("index_sum"),
+    )
 
 
 @query(

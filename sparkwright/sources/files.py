@@ -78,7 +78,9 @@ def _first_text_part(raw: bytes) -> str | None:
     import email
 
     try:
-        message = email.message_from_string(raw.decode("iso-8859-1"))
+        # Text mode reads every line end as a line feed.
+        text = raw.decode("iso-8859-1").replace("\r\n", "\n").replace("\r", "\n")
+        message = email.message_from_string(text)
         for part in message.walk():
             if part.get_content_type() in ("text/plain", "text/html"):
                 payload = part.get_payload()

@@ -17,15 +17,26 @@ def con(sf):
     return c
 
 
+def _no_row_pairing(df):
+    """Whole tables must never meet in a cross or nested-loop join."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_twin(spark, con, sf, name):
-    message, _, fine = compare(spark, con, name, sf)
+    df = QUERIES[name](spark, sf)
+    _no_row_pairing(df)
+    message, _, fine = compare(spark, con, name, sf, df)
     assert fine, message
 
 
-SLOW = {"model_comparison", "cross_dataset_summary", "forest_classifier", "forest_regressor", "gbt_regressor"}
+# Dozens of model fits each; tools/check.py runs them.
+SLOW = {"model_comparison", "cross_dataset_summary"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
 def test_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() > 0
+    df = QUERIES[name](spark, sf)
+    _no_row_pairing(df)
+    assert df.count() > 0

@@ -55,9 +55,9 @@ def kind(t):
     return KIND.get(t, t)
 
 
-def compare(spark, con, name, sf):
+def compare(spark, con, name, sf, df=None):
     start = time.time()
-    df = QUERIES[name](spark, sf)
+    df = QUERIES[name](spark, sf) if df is None else df
     got = [tuple(r) for r in df.collect()]
     took = time.time() - start
     if name not in ORACLES:
