@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkwright.functions.hashing import hash32
 from sparkwright.operators.ordered import exact_quantiles
 from sparkwright.operators.shape import numeric_columns
+from sparkwright.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -211,7 +212,8 @@ def histogram(
     rows = df.select(*group, value.cast("double").alias("x")).where("x is not null")
     span = [F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n_all")]
     if group:
-        rows = rows.join(rows.groupBy(*group).agg(*span), list(group))
+        # Written, so its size is known and Spark decides on a broadcast before the join.
+        rows = rows.join(materialize(rows.groupBy(*group).agg(*span), "spans"), list(group))
     else:
         s = rows.agg(F.struct(*span).alias("s")).scalar()
         rows = rows.withColumn("s", s).select("x", "s.*")
@@ -274,6 +276,7 @@ def kde_grid(df: DataFrame, column: str, points: int = 200) -> DataFrame:
 def box_summary(df: DataFrame, category: str, column: str) -> DataFrame:
     """Per category: quartiles, whiskers (furthest points within 1.5 IQR) and outliers."""
     quart = exact_quantiles(df, [column], QUARTILES, group=[category]).drop("column")
+    quart = materialize(quart, "quartiles")  # known size: broadcast if small
     x = F.col(column).cast("double")
     iqr = F.col("q75") - F.col("q25")
     low, high = F.col("q25") - 1.5 * iqr, F.col("q75") + 1.5 * iqr

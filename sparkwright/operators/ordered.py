@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwright.functions.hashing import SPAN
+from sparkwright.session import materialize
 
 RANGES = 256
 
@@ -50,11 +51,9 @@ def _locate(df: DataFrame, key: str, ranges: int) -> DataFrame:
     return out.drop("_bounds")
 
 
-def _known_small(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Mark a per-group table for broadcast only where the schema bounds its size: one
-    group, or one per unpivoted column. Other group keys are left to Spark, which
-    checks sizes at run time and splits skewed join partitions."""
-    return F.broadcast(df) if set(group) <= {"column"} else df
+def _schema_bound(group: Sequence[str]) -> bool:
+    """True where the schema bounds the number of groups: one per unpivoted column."""
+    return set(group) <= {"column"}
 
 
 def prefix_sums(
@@ -78,8 +77,13 @@ def prefix_sums(
         F.expr(f"percentile_approx(`{key}`, array({cuts}), 10000)").alias("_bounds"),
         *[F.sum(c).alias(f"{name}_total") for c, name in sums.items()],
     ]
-    if g:
-        ranged = df.join(_known_small(df.groupBy(*g).agg(*summary), g), g)
+    if g and _schema_bound(g):
+        ranged = df.join(F.broadcast(df.groupBy(*g).agg(*summary)), g)
+    elif g:
+        # The number of groups is open. Written tables have a known size: Spark
+        # broadcasts the summaries if they are small and joins by key if not.
+        df = materialize(df, "ordered-counts")
+        ranged = df.join(materialize(df.groupBy(*g).agg(*summary), "ordered-bounds"), g)
     else:
         one = df.agg(F.struct(*summary)).scalar()
         ranged = df.withColumn("_one", one).select(*df.columns, "_one.*")
@@ -90,7 +94,9 @@ def prefix_sums(
     before = (
         Window.partitionBy(*g, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = _known_small(_range_offsets(ranged, g, list(sums)), g)
+    offsets = _range_offsets(ranged, g, list(sums))
+    if _schema_bound(g):
+        offsets = F.broadcast(offsets)
     out = ranged.join(offsets, [*g, "_range"])
     for c, name in sums.items():
         inner = F.coalesce(F.sum(c).over(before), F.lit(0))
@@ -105,9 +111,13 @@ def hash_rank(
     group: Sequence[str] = (),
     name: str = "rn",
     ranges: int = 4096,
+    per_group: DataFrame | None = None,
 ) -> DataFrame:
     """1-based row number over a 32-bit hash order within each group.
 
+    ``per_group`` columns join the small offsets table, not the rows, so a group that
+    holds most rows is never a join key of its own.
+
     The hash is uniform, so equal slices of its span are balanced ranges and a
     class with most of the rows is spread over ``ranges`` window partitions.
     """
@@ -116,7 +126,9 @@ def hash_rank(
         "_range", F.floor(F.col("_hash") * F.lit(ranges) / F.lit(SPAN)).cast("int")
     )
     counted = ranged.select(*g, "_range").withColumn("_n", F.lit(1).cast("bigint"))
-    offsets = _known_small(_range_offsets(counted, g, ["_n"]), g)
+    offsets = _range_offsets(counted, g, ["_n"])
+    if per_group is not None:
+        offsets = offsets.join(per_group, g)
     inner = F.row_number().over(Window.partitionBy(*g, "_range").orderBy("_hash", tie))
     out = ranged.withColumn("_inner", inner).join(offsets, [*g, "_range"])
     return out.withColumn(name, (F.col("_off__n") + F.col("_inner")).cast("bigint")).drop(

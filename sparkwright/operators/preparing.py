@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkwright.operators.ordered import exact_quantiles
+from sparkwright.session import materialize
 
 
 def median_fit(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -114,7 +115,8 @@ def class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
         counts.withColumn("_t", total)
         .select(label, (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(name))
     )
-    return df.join(weights, label)
+    # Written, so Spark knows how few classes there are before it plans the join.
+    return df.join(materialize(weights, "class-weights"), label)
 
 
 def _number(x: float | None) -> str:

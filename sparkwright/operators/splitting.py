@@ -44,12 +44,10 @@ def stratified_split(
 ) -> DataFrame:
     """Split with exact per-class quotas as a 0/1 column ``is_test``: the rows of a
     class that come first in hash order are the test rows."""
-    ranked = hash_rank(df, hash32(seed, key), key, group=[label])
     quotas = test_quotas(df, label, test_size)
-    return (
-        ranked.join(quotas, label)
-        .withColumn("is_test", (F.col("rn") <= F.col("quota")).cast("int"))
-        .drop("rn", "quota")
+    ranked = hash_rank(df, hash32(seed, key), key, group=[label], per_group=quotas)
+    return ranked.withColumn("is_test", (F.col("rn") <= F.col("quota")).cast("int")).drop(
+        "rn", "quota"
     )
 
 

@@ -130,7 +130,7 @@ def text_features_query(spark, d):
     """,
 )
 def features_log_hist(spark, d):
-    feats = text_features(labelled_docs(spark, d))
+    feats = materialize(text_features(labelled_docs(spark, d)), "features")  # read twice
     long = feats.unpivot(["label"], list(T.TEXT_MEASURES), "feature", "value")
     out = A.histogram(long, F.log(F.col("value") + 1), 20, group=["feature", "label"])
     return out.withColumns(
