@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwright.operators.ranking import top_n_per
+from sparkwright.session import ship_package
 
 MAX_FEATURES = 20000
 MAX_LEN = 200
@@ -162,6 +163,8 @@ def to_sparse_vector(weights: DataFrame, key: str, vocab: DataFrame, size: int)
     entries of a row are bounded by the vocabulary. Documents without terms are absent."""
     from pyspark.ml.linalg import Vectors, VectorUDT
 
+    ship_package(weights.sparkSession)
+
     @F.udf(VectorUDT())
     def build(entries):
         return Vectors.sparse(size, [e["idx"] for e in entries], [e["w"] for e in entries])

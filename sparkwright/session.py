@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -75,3 +76,21 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that functions
+    run there can import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="sparkwright-"), "sparkwright")
+    archive = shutil.make_archive(
+        base, "zip", root_dir=os.path.dirname(package), base_dir=os.path.basename(package)
+    )
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.session import ship_package
+
 # Folder name -> class (1 = unwanted mail), and the file that is not a mail.
 CORPUS_LABELS = {
     "spam": 1,
@@ -93,6 +95,7 @@ def _first_text_part(raw: bytes) -> str | None:
 def mail_text_part(files: DataFrame, content: str = "content") -> DataFrame:
     """Replace the raw bytes by the first plain-text or HTML part, undecoded;
     unreadable messages give NULL. Arrow batches, a stdlib parser per message."""
+    ship_package(files.sparkSession)
     rest = [f for f in files.schema.fields if f.name != content]
     schema = T.StructType([*rest, T.StructField("text", T.StringType())])
 
