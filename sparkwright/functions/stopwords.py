@@ -1,24 +1,25 @@
-"""The default stop-word list, taken from the Spark installation."""
+"""The default English stop words, as a plain constant: no session, no file access."""
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
+# The words of Spark's own ``StopWordsRemover`` for English, in its order.
+ENGLISH = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his
+    himself she her hers herself it its itself they them their theirs themselves what which
+    who whom this that these those am is are was were be been being have has had having do
+    does did doing a an the and but if or because as until while of at by for with about
+    against between into through during before after above below to from up down in out on
+    off over under again further then once here there when where why how all any both each
+    few more most other some such no nor not only own same so than too very s t can will
+    just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+    they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't
+    wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't
+    shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's
+    what's when's where's who's why's would
+    """.split()
+)
 
-import pyspark
 
-
-@functools.lru_cache(maxsize=None)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Words Spark's own ``StopWordsRemover`` uses, read without a running JVM."""
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        from pyspark.ml.feature import StopWordsRemover
-
-        return tuple(StopWordsRemover.loadDefaultStopWords(language))
-    with zipfile.ZipFile(jars[0]) as jar:
-        name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-        text = jar.read(name).decode("utf-8")
-    return tuple(w for w in (line.strip() for line in text.splitlines()) if w)
+def default_stop_words() -> tuple[str, ...]:
+    return ENGLISH
