@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkwright.llm import jaccard
+from sparkwright.llm import jaccard, mixing, sharding, substring, toxicity
 from sparkwright.session import load
 
 LLM_QUERIES = {}
@@ -21,6 +22,37 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return substring.remove(load(spark, d, "documents"), with_text=False)
+
+
 @query("op5_ngram_jaccard_join")
 def op5(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.classes(load(spark, d, "documents"))
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    placed = sharding.shards(load(spark, d, "documents"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(load(spark, d, "documents")).drop("key")
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    docs = load(spark, d, "documents")
+    model = toxicity.fit_on(docs, load(spark, d, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~toxicity.in_training()).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
