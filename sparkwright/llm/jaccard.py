@@ -248,16 +248,31 @@ def classes(
         .withColumn("own", F.col("k") - F.size(early))
         .where(F.col("own") < width)
         .withColumn("own_late", F.col("m") - F.col("k") - F.size(late))
+        .withColumn("early", first(early, width - F.col("own")))
         .withColumn(
-            "prefix",
-            F.concat(
-                first(early, width - F.col("own")),
-                first(late, F.when(F.col("m") > F.col("k"), width - F.col("k") - F.col("own_late"))
-                      .otherwise(0)),
+            "late",
+            first(
+                late,
+                F.when(F.col("m") > F.col("k"), width - F.col("k") - F.col("own_late")).otherwise(0),
+            ),
+        )
+        .withColumn("prefix", F.concat("early", "late"))
+        # The place of each in the order of the whole set.
+        .withColumn(
+            "places",
+            F.transform(
+                "prefix",
+                lambda t, i: F.when(i < F.size("early"), F.col("own") + i + 1).otherwise(
+                    F.col("k") + F.col("own_late") + i - F.size("early") + 1
+                ),
             ),
         )
         .where(F.size("prefix") > 0)
-        .select("sid", "n", "prefix", (F.size("prefix") == width).alias("whole"))
+        .select(
+            "sid", "n", "prefix", "places",
+            (F.col("own") + F.greatest("own_late", F.lit(0))).alias("own"),
+            (F.size("prefix") == width).alias("whole"),
+        )
     )
     # A set with a shingle of its own in the prefix shares the prefix with no other set.
     prefixes = materialize(
@@ -270,10 +285,15 @@ def classes(
         "prefixes",
     )
     groups = prefixes.groupBy("gid").agg(
-        F.min_by(F.struct("n", "prefix"), "sid").alias("g"), F.min("sid").alias("head")
+        F.min_by(F.struct("n", "own", "prefix", "places"), "sid").alias("g"),
+        F.min("sid").alias("head"),
     )
+    groups = materialize(groups.select("gid", "head", "g.*"), "groups")
     postings = materialize(
-        groups.select("gid", "head", "g.n", F.explode("g.prefix").alias("token")), "postings"
+        groups.select(
+            "gid", "head", "n", "own", F.explode(F.arrays_zip("prefix", "places")).alias("t")
+        ).select("gid", "head", "n", "own", F.col("t.prefix").alias("token"), F.col("t.places").alias("place")),
+        "postings",
     )
 
     # The candidates' whole sets, each text once.
@@ -294,61 +314,101 @@ def classes(
     sets = materialize(sets.groupBy("sid").agg(F.first("tokens").alias("tokens")), "shingles")
 
     # First: every group meets the one head it shares most shingles with, every member
-    # the head of its group.
-    heads = postings.groupBy("token").agg(F.min(F.struct("n", "head")).alias("h"))
-    best = (
-        postings.join(heads, "token")
-        .where((F.col("head") != F.col("h.head")) & _near_sizes("n", "h.n", percent))
-        .groupBy(F.col("head").alias("a"), F.col("h.head").alias("b"))
-        .count()
-        .groupBy("a")
-        .agg(F.max_by("b", F.struct("count", "b")).alias("b"))
-    )
+    # the head of its group. Heads have the fewest shingles of their own: in a class of
+    # copies of one original that is the original, or what is closest to it.
+    def stars(posted: DataFrame, eligible) -> DataFrame:
+        heads = posted.groupBy("token").agg(
+            F.min(F.when(eligible, F.struct("own", "n", "head"))).alias("h")
+        )
+        return (
+            posted.join(heads, "token")
+            .where((F.col("head") != F.col("h.head")) & _near_sizes("n", "h.n", percent))
+            .groupBy(F.col("head").alias("a"), F.col("h.head").alias("b"))
+            .count()
+            .groupBy("a")
+            .agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+        )
+
     inside = (
         prefixes.select("sid", "gid")
         .join(groups.select("gid", "head"), "gid")
         .where(F.col("sid") != F.col("head"))
         .select(F.col("sid").alias("a"), F.col("head").alias("b"))
     )
-    links = materialize(_verified(best.unionByName(inside), sets, percent), "links")
-    found = materialize(components(links), "classes")
+    tried = stars(postings, F.lit(True)).unionByName(inside)
+    links = materialize(_verified(tried, sets, percent), "links")
+
+    def placed_in_classes():
+        """Members with their classes; postings of the shingles of several classes."""
+        found = components(links)
+        member = (
+            prefixes.select("sid", "gid")
+            .join(found, F.col("sid") == F.col("node"), "left")
+            .select("sid", "gid", F.coalesce("root", "sid").alias("root"))
+        )
+        member = materialize(member, "members")
+        placed = postings.join(member.select("gid", "root").distinct(), "gid")
+        mixed = (
+            placed.groupBy("token", "root")
+            .agg(F.count("*").alias("c"))
+            .groupBy("token")
+            .agg(F.max_by("root", F.struct("c", "root")).alias("most"), F.count("*").alias("k"))
+            .where("k > 1")
+            .select("token", "most")
+        )
+        return member, materialize(placed.join(mixed, "token"), "placed")
+
+    # Once more with the heads of the largest class of each shingle.
+    member, placed = placed_in_classes()
+    outside = placed.where(F.col("root") != F.col("most"))
+    major = placed.where(F.col("root") == F.col("most"))
+    tried = stars(
+        outside.withColumn("inner", F.lit(False)).unionByName(
+            major.withColumn("inner", F.lit(True))
+        ),
+        F.col("inner"),
+    ).join(outside.select(F.col("head").alias("a")).distinct(), "a", "left_semi")
+    links = materialize(links.unionByName(_verified(tried, sets, percent)), "links")
 
-    # Then: all pairs that share a prefix shingle, fit in size and are in two classes.
-    # Pairs inside the largest class of a shingle are never formed.
-    member = (
-        prefixes.select("sid", "gid")
-        .join(found, F.col("sid") == F.col("node"), "left")
-        .select("sid", "gid", F.coalesce("root", "sid").alias("root"))
-    )
-    member = materialize(member, "members")
-    placed = (
-        postings.select("token", "gid", "n")
-        .join(member.select("gid", "root").distinct(), "gid")
-        .select("token", "gid", "n", "root")
-    )
-    by_class = placed.groupBy("token", "root").agg(F.count("*").alias("c"))
-    mixed = by_class.groupBy("token").agg(
-        F.max_by("root", F.struct("c", "root")).alias("most"), F.count("*").alias("k")
-    )
-    mixed = mixed.where("k > 1").select("token", "most")
-    placed = materialize(placed.join(mixed, "token"), "placed")
+    # Then: all pairs of groups in two classes that share a shingle near enough to the
+    # front for their sizes. Pairs inside the largest class of a shingle are never formed.
+    member, placed = placed_in_classes()
     left = placed.where(F.col("root") != F.col("most")).select(
-        "token", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("root").alias("ra")
+        "token",
+        *(F.col(c).alias(f"{c}_a") for c in ("gid", "n", "place", "root")),
     )
     right = placed.select(
         "token",
-        F.col("gid").alias("gb"),
-        F.col("n").alias("nb"),
-        F.col("root").alias("rb"),
+        *(F.col(c).alias(f"{c}_b") for c in ("gid", "n", "place", "root")),
         (F.col("root") == F.col("most")).alias("major"),
     )
+    needed = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     pairs = (
         left.join(right, "token")
-        .where(F.col("major") | (F.col("ra") < F.col("rb")))
-        .where((F.col("ra") != F.col("rb")) & _near_sizes("na", "nb", percent))
-        .select("ga", "ra", "gb", "rb")
+        .where(F.col("major") | (F.col("root_a") < F.col("root_b")))
+        .where((F.col("root_a") != F.col("root_b")) & _near_sizes("n_a", "n_b", percent))
+        .where(F.col("place_a") <= F.col("n_a") - needed + 1)
+        .where(F.col("place_b") <= F.col("n_b") - needed + 1)
+        .select("gid_a", "root_a", "gid_b", "root_b")
         .distinct()
     )
+    # Behind the whole prefixes only so many shingles are left to share.
+    def side(c):
+        return groups.select(
+            F.col("gid").alias(f"gid_{c}"), F.col("n").alias(f"n_{c}"),
+            F.col("prefix").alias(f"prefix_{c}"),
+        )
+
+    rest = [F.ceil(F.lit(percent) * F.col(f"n_{c}") / 100) - 1 for c in "ab"]
+    pairs = (
+        pairs.join(side("a"), "gid_a")
+        .join(side("b"), "gid_b")
+        .where(F.size(F.array_intersect("prefix_a", "prefix_b")) + F.greatest(*rest) >= needed)
+        .select(
+            F.col("gid_a").alias("ga"), F.col("root_a").alias("ra"),
+            F.col("gid_b").alias("gb"), F.col("root_b").alias("rb"),
+        )
+    )
     of = lambda s: member.select(
         F.col("sid").alias(s), F.col("gid").alias(f"g{s}"), F.col("root").alias(f"r{s}")
     )
