@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm import chat, jaccard, licenses, mixing, sharding, substring, toxicity, urls
+import corpus_pipeline
+from sparkwright.llm import (
+    benchmark,
+    chat,
+    jaccard,
+    licenses,
+    mixing,
+    sharding,
+    substring,
+    topk,
+    toxicity,
+    urls,
+)
 from sparkwright.session import load
 
 LLM_QUERIES = {}
@@ -105,3 +117,17 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(learnt, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return benchmark.contaminated(load(spark, d, "documents"), load(spark, d, "benchmark"))
+
+
+@query("op6_exact_top_k")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    vectors = load(spark, d, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
