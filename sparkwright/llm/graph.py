@@ -35,7 +35,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .distinct()
         )
-        large = materialize(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(least, "a")

@@ -4,7 +4,8 @@ A document's set holds its distinct word shingles. The order of shingles is: a f
 fifth-and-more of the hash space first, by document frequency, then the rest. Two sets
 with a Jaccard similarity of at least t share one of their first ``n - ceil(t n) + 1``
 shingles in that order. Shingles that occur in one set only cannot be shared, so a set
-with that many of them in the counted part has no partner and leaves early.
+with that many of them in the counted part has no partner and leaves early. For the sets
+that stay, all shingles are counted and the prefixes drawn again.
 
 Sets with the same size and the same prefix form one group. Shared prefix shingles
 propose pairs of groups; sizes filter them; members are verified by exact intersection.
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ from sparkwright.session import materialize, ship_package
 # prefix share (a quarter at 75 %), so few sets need the rest as well.
 COUNTED = 5 / 16
 VERY_FREQUENT = 1 << 30
+TOKENS = "token long, sid long, frequent boolean"
+SETS = "sid long, tokens array<long>"
 # A shingle in more sets of one Arrow batch than this many, and this share, is frequent.
 BATCH_SETS, BATCH_SHARE = 64, 50
 
@@ -92,35 +96,45 @@ def describe_batches(batches, words: int, percent: int):
         )
 
 
+def _tokens(sids: list, parts: list) -> pa.RecordBatch:
+    """(token, sid, frequent) for distinct sets. A token that is frequent among them also
+    sends one row without a set."""
+    token = np.concatenate(parts)
+    sid = np.repeat(np.array(sids, dtype=np.int64), [len(p) for p in parts])
+    _, where, count = np.unique(token, return_inverse=True, return_counts=True)
+    often = count > max(BATCH_SETS, len(parts) // BATCH_SHARE)
+    marks = np.unique(token[often[where]])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([token, marks])),
+            pa.array(
+                np.concatenate([sid, np.zeros(len(marks), dtype=np.int64)]),
+                mask=np.arange(len(token) + len(marks)) >= len(token),
+            ),
+            pa.array(np.concatenate([often[where], np.zeros(len(marks), dtype=bool)])),
+        ],
+        ["token", "sid", "frequent"],
+    )
+
+
 def token_batches(batches, words: int, percent: int):
-    """(token, sid, frequent): emitted shingles of each distinct set of a batch. A shingle
-    that is frequent in the batch also sends one row without a set."""
+    """The emitted shingles of each distinct set of a batch of texts."""
     for batch in batches:
-        seen, parts, sids = set(), [], []
+        seen = {}
         for s in _sets(batch.column(0), words):
-            sid = _set_id(s)
-            if len(s) and sid not in seen:
-                seen.add(sid)
-                parts.append(_emitted(s, percent)[1])
-                sids.append(sid)
-        if not parts:
-            continue
-        token = np.concatenate(parts)
-        sid = np.repeat(np.array(sids, dtype=W.U), [len(p) for p in parts])
-        values, where, count = np.unique(token, return_inverse=True, return_counts=True)
-        often = count > max(BATCH_SETS, len(parts) // BATCH_SHARE)
-        marks = values[often]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([W.signed(token), W.signed(marks)])),
-                pa.array(
-                    np.concatenate([W.signed(sid), np.zeros(len(marks), dtype=np.int64)]),
-                    mask=np.arange(len(token) + len(marks)) >= len(token),
-                ),
-                pa.array(np.concatenate([often[where], np.zeros(len(marks), dtype=bool)])),
-            ],
-            ["token", "sid", "frequent"],
-        )
+            if len(s):
+                seen.setdefault(int(W.signed(_set_id(s)[None])[0]), _emitted(s, percent)[1])
+        if seen:
+            yield _tokens(list(seen), [W.signed(x) for x in seen.values()])
+
+
+def set_token_batches(batches):
+    """All shingles of a batch of distinct sets."""
+    for batch in batches:
+        if batch.num_rows:
+            arrays = batch.column(1)
+            flat, cuts = np.asarray(arrays.flatten()), np.cumsum(np.asarray(pc.list_value_length(arrays)))
+            yield _tokens(np.asarray(batch.column(0)), np.split(flat, cuts[:-1]))
 
 
 def shared_batches(batches):
@@ -185,51 +199,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(100 * both >= percent * union).select("a", "b")
 
 
-def _near_sizes(x, y, percent: int):
-    return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
-
-
-def classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75
-) -> DataFrame:
-    """(id, n_shingles, component_id) for every row of ``docs``.
-
-    component_id is the smallest id that links reach, the row's own included. A text
-    without words, or null, has an empty set, no links, and its own id. Rows with a null
-    id take part; they get the smallest id of their class, or null if there is none.
-    Equal sets (repeated rows too) share a class. Texts of any length are read whole. An
-    empty table gives no rows; other columns of ``docs`` are not looked at. Sets are told
-    apart by 64-bit ids.
-    """
-    spark = docs.sparkSession
-    ship_package(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    known = materialize(
-        rows.mapInArrow(
-            functools.partial(describe_batches, words=words, percent=percent),
-            "doc long, n long, k long, m long, sid long",
-        ),
-        "sets",
-    )
-
-    tokens = rows.select("text").mapInArrow(
-        functools.partial(token_batches, words=words, percent=percent),
-        "token long, sid long, frequent boolean",
-    )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = (
-        tokens.repartition(parts, F.when(F.col("frequent"), F.col("sid")).otherwise(F.col("token")))
+def _shared(tokens: DataFrame) -> DataFrame:
+    """(sid, token, df) of the tokens in two sets or more. Rows of a frequent token are
+    dealt by their sets, so no task gets them all."""
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = F.when(F.col("frequent"), F.col("sid")).otherwise(F.col("token"))
+    return (
+        tokens.repartition(parts, deal)
         .sortWithinPartitions("token", "sid")
         .mapInArrow(shared_batches, "sid long, token long, df long")
     )
 
-    # The order of a token: the counted part of the hash space (as unsigned) comes first.
-    bound = int(W.signed(np.array([_counted(percent)]))[0])
-    counted = (
-        F.col("token") >= 0 if bound < 0 else (F.col("token") >= 0) & (F.col("token") < bound)
-    )
-    if bound < 0:
-        counted = counted | (F.col("token") < bound)
+
+def _prefixes(shared: DataFrame, sizes: DataFrame, counted, percent: int) -> DataFrame:
+    """The shared shingles in the prefix of each set, with their places in its order; sets
+    that can have a partner only. ``sizes``: set size n, its k counted and m emitted
+    shingles; ``counted`` tells the counted ones, which come first in the order."""
     place = F.struct((~counted).alias("late"), "df", "token")
     width = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
     early = F.array_sort(F.filter("known", lambda t: ~t["late"]))
@@ -239,25 +224,17 @@ def classes(
         return F.slice(tokens, F.lit(1), F.greatest(places, F.lit(0)).cast("int"))["token"]
 
     # Before the shared shingles of either part stand the set's own ones of that part.
-    prefixes = (
+    late_places = F.when(F.col("m") > F.col("k"), width - F.col("k") - F.col("own_late"))
+    return (
         shared.groupBy("sid")
         .agg(F.collect_list(place).alias("known"))
-        .join(
-            known.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "k", "m"))), "sid"
-        )
+        .join(sizes, "sid")
         .withColumn("own", F.col("k") - F.size(early))
         .where(F.col("own") < width)
         .withColumn("own_late", F.col("m") - F.col("k") - F.size(late))
         .withColumn("early", first(early, width - F.col("own")))
-        .withColumn(
-            "late",
-            first(
-                late,
-                F.when(F.col("m") > F.col("k"), width - F.col("k") - F.col("own_late")).otherwise(0),
-            ),
-        )
+        .withColumn("late", first(late, F.coalesce(late_places, F.lit(0))))
         .withColumn("prefix", F.concat("early", "late"))
-        # The place of each in the order of the whole set.
         .withColumn(
             "places",
             F.transform(
@@ -274,6 +251,76 @@ def classes(
             (F.size("prefix") == width).alias("whole"),
         )
     )
+
+
+def _near_sizes(x, y, percent: int):
+    return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
+
+
+def classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75
+) -> DataFrame:
+    """(id, n_shingles, component_id) for every row of ``docs``.
+
+    component_id is the smallest id that links reach, the row's own included. A text
+    without words, or null, has an empty set, no links, and its own id. Rows with a null
+    id take part; they get the smallest id of their class, or null if there is none.
+    Equal sets (repeated rows too) share a class. Texts of any length are read whole. An
+    empty table gives no rows; other columns of ``docs`` are not looked at. Sets are told
+    apart by 64-bit ids.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    known = materialize(
+        rows.mapInArrow(
+            functools.partial(describe_batches, words=words, percent=percent),
+            "doc long, n long, k long, m long, sid long",
+        ),
+        "sets",
+    )
+
+    tokens = rows.select("text").mapInArrow(
+        functools.partial(token_batches, words=words, percent=percent), TOKENS
+    )
+    # The counted part of the hash space as unsigned numbers.
+    bound = int(_counted(percent))
+    counted = F.col("token") >= 0
+    if bound < 2**63:
+        counted = counted & (F.col("token") < bound)
+    else:
+        counted = counted | (F.col("token") < bound - 2**64)
+    sizes = known.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "k", "m")))
+    hopeful = materialize(
+        _prefixes(_shared(tokens), sizes, counted, percent).select("sid", "n"), "hopeful"
+    )
+
+    # The whole sets of those, each text once.
+    wanted = known.join(hopeful.select("sid"), "sid", "left_semi")
+    wanted = wanted.groupBy("sid").agg(F.min("doc").alias("doc"))
+    full = functools.partial(full_batches, words=words)
+    sets = (
+        rows.join(wanted.select("doc").distinct(), "doc", "left_semi")
+        .select("text")
+        .mapInArrow(full, SETS)
+        .join(hopeful.select("sid"), "sid", "left_semi")
+    )
+    orphans = (
+        rows.where(F.col("doc").isNull())
+        .select("text")
+        .mapInArrow(full, SETS)
+        .join(wanted.where(F.col("doc").isNull()), "sid", "left_semi")
+    )
+    sets = sets.unionByName(orphans).groupBy("sid").agg(F.first("tokens").alias("tokens"))
+    sets = materialize(sets, "shingles")
+
+    # Partners are among them, so their prefixes follow from counts over them alone - now
+    # of all their shingles.
+    size = F.size("tokens").cast("long")
+    sizes = sets.select("sid", size.alias("n"), size.alias("k"), size.alias("m"))
+    prefixes = _prefixes(
+        _shared(sets.mapInArrow(set_token_batches, TOKENS)), sizes, F.lit(True), percent
+    )
     # A set with a shingle of its own in the prefix shares the prefix with no other set.
     prefixes = materialize(
         prefixes.withColumn(
@@ -296,23 +343,6 @@ def classes(
         "postings",
     )
 
-    # The candidates' whole sets, each text once.
-    wanted = known.join(prefixes.select("sid"), "sid", "left_semi")
-    wanted = wanted.groupBy("sid").agg(F.min("doc").alias("doc"))
-    kept = rows.join(wanted.select("doc").distinct(), "doc", "left_semi").select("text")
-    nameless = wanted.where(F.col("doc").isNull()).select("sid")
-    sets = kept.mapInArrow(
-        functools.partial(full_batches, words=words), "sid long, tokens array<long>"
-    )
-    orphans = (
-        rows.where(F.col("doc").isNull())
-        .select("text")
-        .mapInArrow(functools.partial(full_batches, words=words), "sid long, tokens array<long>")
-        .join(nameless, "sid", "left_semi")
-    )
-    sets = sets.join(prefixes.select("sid"), "sid", "left_semi").unionByName(orphans)
-    sets = materialize(sets.groupBy("sid").agg(F.first("tokens").alias("tokens")), "shingles")
-
     # First: every group meets the one head it shares most shingles with, every member
     # the head of its group. Heads have the fewest shingles of their own: in a class of
     # copies of one original that is the original, or what is closest to it.
