@@ -6,6 +6,7 @@ short forms cover ASCII only.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -25,7 +26,13 @@ URL = (
 MENTION = rf"@[{WORD_CHARS}.-]+"
 HASHTAG = rf"#[{WORD_CHARS}]+"
 TAG = r"<[^>]+>"
-NO_MATCH = r"(?!)"
+NO_MATCH = r"()(?!)"
+# MAIL for Java, in linear time: a search can only begin where a run of address characters
+# begins, at a bracket, or where the last match ended. Leading dots and dashes of the run are group 1.
+MAIL_RUN = (
+    rf"(?:\G|(?<![{WORD_CHARS}.-])|(?=[<\[(]))([.-]*+)"
+    rf"[<\[(]?[{WORD_CHARS}][{WORD_CHARS}.-]++@[{WORD_CHARS}.]+[>\])]?[:=]?[0-9]{{0,}}"
+)
 SPECIAL = r"[{.()!:,=/<>?}-]+"
 NON_LETTER = rf"[^a-zA-Z{SPACE_CHARS}]+"
 PUNCT = rf"[^{WORD_CHARS}{SPACE_CHARS}]"
@@ -37,15 +44,26 @@ WORDS = rf"[{WORD_CHARS}]+"
 WORD_OR_PUNCT = rf"[{WORD_CHARS}]+|[^{WORD_CHARS}{SPACE_CHARS}]+"
 KEPT_WORD = r"\b[a-z]{4,39}\b"
 MARKUP = (
-    r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?(?:</script[^>]*>|\z)"
+    r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script[^>]*>|\z)"
     r"|style\b[^>]*>.*?(?:</style[^>]*>|\z)|/?[a-z!?][^>]*>)"
 )
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 NAMED_ENTITY = r"&[a-zA-Z][a-zA-Z0-9]*;"
 DIGITS_7 = r"\p{Nd}{7,}"
-# Accented letters and their base letters, position by position.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUYY"
+
+
+def _base_letters() -> tuple[str, str]:
+    """All precomposed letters and, place by place, the letters without their marks."""
+    marked, base = [], []
+    for code in range(0xC0, 0x1F000):
+        letter, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and all(unicodedata.category(m) == "Mn" for m in marks):
+            marked.append(chr(code))
+            base.append(letter)
+    return "".join(marked), "".join(base)
+
+
+ACCENTED, UNACCENTED = _base_letters()
 
 
 def _c(c: str | Column) -> Column:
@@ -65,7 +83,7 @@ def _mail_pattern(raw: Column) -> Column:
     for the others: its search starts a scan at every word. The choice sits in the
     pattern argument so that the text expression is not repeated per branch."""
     possible = F.contains(raw, F.lit("@")) | F.contains(raw, F.lit("&#"))
-    return F.when(possible, F.lit(MAIL)).otherwise(F.lit(NO_MATCH))
+    return F.when(possible, F.lit(MAIL_RUN)).otherwise(F.lit(NO_MATCH))
 
 
 def collapse_space(c: str | Column) -> Column:
@@ -121,7 +139,12 @@ def drop_link_prefixes(c: str | Column) -> Column:
 
 
 def tag_count(c: str | Column) -> Column:
-    return _hits(drop_link_prefixes(c), TAG)
+    """Matches of TAG: of the pieces that a ``>`` ends, those whose first ``<`` is not
+    their last character."""
+    pieces = F.split(drop_link_prefixes(c), ">", -1)
+    closed = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    found = F.filter(closed, lambda p: F.instr(p, "<").between(1, F.length(p) - 1))
+    return F.size(found).cast("bigint")
 
 
 def email_count(c: str | Column) -> Column:
@@ -173,10 +196,19 @@ def _ascii_references(c: Column) -> Column:
     return F.array_join(F.transform(pieces, decode), "")
 
 
+def _drop_markup(c: Column) -> Column:
+    """Remove MARKUP. Behind the last ``>`` no tag can end, so no search begins there:
+    its ``<`` are set aside meanwhile."""
+    tail = F.substring_index(c, ">", -1)
+    head = F.substring(c, F.lit(1), F.length(c) - F.length(tail))
+    held = F.concat(head, F.replace(tail, F.lit("<"), F.lit("\u0002")))
+    return F.replace(_drop(held, MARKUP), F.lit("\u0002"), F.lit("<"))
+
+
 def strip_markup(c: str | Column) -> Column:
     """Visible text of marked-up input: comments, scripts, styles and tags go,
-    character references are resolved."""
-    t = _ascii_references(_drop(_c(c), MARKUP))
+    character references are resolved. An open comment reaches to the end."""
+    t = _ascii_references(_drop_markup(_c(c)))
     for name, char in ENTITIES.items():
         if name == "&amp;":
             t = F.regexp_replace(t, r"&(?!amp;)[a-zA-Z][a-zA-Z0-9]*;", "")
@@ -186,7 +218,7 @@ def strip_markup(c: str | Column) -> Column:
 
 def letters_only(c: str | Column) -> Column:
     """All rewrites up to the point where only lower-case letters and spaces are left."""
-    t = F.regexp_replace(strip_markup(drop_link_prefixes(c)), _mail_pattern(_c(c)), F.lit(""))
+    t = F.regexp_replace(strip_markup(drop_link_prefixes(c)), _mail_pattern(_c(c)), F.lit("$1"))
     for pattern in (URL, MENTION, HASHTAG):
         t = _drop(t, pattern)
     t = _drop(F.lower(t), SPECIAL, " ")
@@ -205,7 +237,8 @@ def clean_text(c: str | Column, stop_words: Iterable[str] | None = None) -> Colu
 
 
 def strip_accents(c: str | Column) -> Column:
-    return F.translate(_c(c), ACCENTED, UNACCENTED)
+    """Letters without their marks, written as one character or as letter and marks."""
+    return F.regexp_replace(F.translate(_c(c), ACCENTED, UNACCENTED), r"\p{Mn}+", "")
 
 
 def word_tokens(c: str | Column) -> Column:
@@ -218,4 +251,4 @@ def punct_tokens(c: str | Column) -> Column:
 
 def redact_pii(c: str | Column) -> Column:
     """Mask mail addresses, then digit runs of seven or more."""
-    return _drop(_drop(_c(c), MAIL, "[MAIL]"), DIGITS_7, "[NUMBER]")
+    return _drop(_drop(_c(c), MAIL_RUN, "$1[MAIL]"), DIGITS_7, "[NUMBER]")

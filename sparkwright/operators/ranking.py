@@ -36,7 +36,7 @@ def top_n_per(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: i
 
 
 def dedupe_keep_first(df: DataFrame, content: str, key: str) -> DataFrame:
-    """One row per content, the one with the smallest key.
+    """One row per content, the one with the smallest key; NULL is a content as well.
 
     Only (digest, key) pairs are grouped and only the surviving keys are joined
     back: a text that fills a third of the table is one row per task, and no text
@@ -44,7 +44,6 @@ def dedupe_keep_first(df: DataFrame, content: str, key: str) -> DataFrame:
     """
     keep = (
         df.select(F.sha2(F.col(content), 256).alias("_digest"), key)
-        .where(F.col("_digest").isNotNull())
         .groupBy("_digest")
         .agg(F.min(key).alias(key))
         .select(key)

@@ -185,12 +185,15 @@ def index_terms(fit: DataFrame) -> DataFrame:
 
 
 def mean_embedding(ids: DataFrame, vectors: DataFrame, key: str, dim: int) -> DataFrame:
-    """Mean vector of the token ids of each document.
+    """Mean vector of the token ids of each document; an id without a vector, such as that
+    of unknown words, counts as zeros.
 
     ``ids`` holds one row per (document, id, n). Sums run per component inside the
     hash aggregate, so no (document, component) rows are built.
     """
-    joined = ids.join(vectors, "id")
+    joined = ids.join(vectors, "id", "left")
     n = F.sum("n")
-    parts = [(F.sum(F.col("n") * F.col("vector")[i]) / n) for i in range(dim)]
+    parts = [
+        F.coalesce(F.sum(F.col("n") * F.col("vector")[i]), F.lit(0.0)) / n for i in range(dim)
+    ]
     return joined.groupBy(key).agg(F.array(*parts).alias("mean"))

@@ -238,7 +238,7 @@ def pad_ids(spark, d):
     WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {Q.q(T.WORDS)})) AS word
                FROM documents),
     vocab AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) + 1 AS id
-              FROM w GROUP BY word ORDER BY count(*) DESC, word LIMIT 998)
+              FROM w GROUP BY word ORDER BY count(*) DESC, word LIMIT 19998)
     SELECT w.doc_id, count(*) AS words, count(*) FILTER (WHERE coalesce(v.id, 1) = 1) AS unknown,
            CAST(sum(coalesce(v.id, 1)) AS BIGINT) AS id_sum
     FROM w LEFT JOIN vocab v ON w.word = v.word GROUP BY w.doc_id
@@ -246,7 +246,7 @@ def pad_ids(spark, d):
 )
 def oov_left_join(spark, d):
     words = all_words(spark, d)
-    ids = V.oov_ids(words, V.vocab_rank(words, "word", max_vocab=1000))
+    ids = V.oov_ids(words, V.vocab_rank(words, "word"))
     return ids.groupBy("doc_id").agg(
         F.count("*").alias("words"),
         F.count_if(F.col("id") == 1).alias("unknown"),
@@ -258,13 +258,13 @@ _WORD_IDS = f"""
     w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {Q.q(T.WORDS)})) AS word
           FROM documents),
     vocab AS (SELECT word, CAST(row_number() OVER (ORDER BY count(*) DESC, word) + 1 AS INTEGER) AS id
-              FROM w GROUP BY word ORDER BY count(*) DESC, word LIMIT 998)
+              FROM w GROUP BY word ORDER BY count(*) DESC, word LIMIT 19998)
 """
 
 
 def _id_vectors(spark, d, fill):
     """Vocabulary ids with the vector of the same number, where there is one."""
-    vocab = V.vocab_rank(all_words(spark, d), "word", max_vocab=1000)
+    vocab = V.vocab_rank(all_words(spark, d), "word")
     vectors = load(spark, d, "embeddings").select(
         F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("vector")
     )
@@ -294,19 +294,28 @@ def vector_left_join(spark, d):
     "mean_embedding",
     f"""
     WITH {_WORD_IDS},
-    z AS (SELECT v.word, coalesce(CAST(e.embedding AS DOUBLE[]),
-                 list_transform(range(64), lambda i: 0::DOUBLE)) AS vector
-          FROM vocab v LEFT JOIN embeddings e ON v.id = e.vec_id),
+    z AS (SELECT v.word, CAST(e.embedding AS DOUBLE[]) AS vector
+          FROM vocab v JOIN embeddings e ON v.id = e.vec_id),
     c AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+    t AS (SELECT doc_id, sum(n) AS n FROM c GROUP BY doc_id),
     u AS (SELECT c.doc_id, c.n, unnest(z.vector) AS x, unnest(range(64)) AS i
           FROM c JOIN z ON c.word = z.word),
-    m AS (SELECT doc_id, i, round(sum(n * x) / sum(n), 6) AS x FROM u GROUP BY doc_id, i)
-    SELECT doc_id, list(x ORDER BY i) AS mean FROM m GROUP BY doc_id
+    m AS (SELECT u.doc_id, i, sum(u.n * x) AS x FROM u GROUP BY ALL),
+    k AS (SELECT m.doc_id, list(round(x / t.n, 6) ORDER BY i) AS mean
+          FROM m JOIN t ON m.doc_id = t.doc_id GROUP BY m.doc_id)
+    SELECT d.doc_id, coalesce(k.mean, list_transform(range(64), lambda i: 0::DOUBLE)) AS mean
+    FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
     """,
 )
 def mean_embedding(spark, d):
     words = all_words(spark, d).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    vectors = _id_vectors(spark, d, "zeros").select("word", "id", "vector")
-    ids = words.join(F.broadcast(vectors.select("word", "id")), "word")
-    out = V.mean_embedding(ids, F.broadcast(vectors.select("id", "vector")), "doc_id", 64)
-    return out.select("doc_id", F.transform("mean", lambda x: F.round(x, 6)).alias("mean"))
+    vectors = materialize(_id_vectors(spark, d, "zeros"), "id-vectors")
+    ids = V.oov_ids(words, vectors)
+    found = V.mean_embedding(ids, F.broadcast(vectors.select("id", "vector")), "doc_id", 64)
+    zeros = F.array_repeat(F.lit(0.0), 64)
+    return (
+        load(spark, d, "documents")
+        .select("doc_id")
+        .join(found, "doc_id", "left")
+        .select("doc_id", F.transform(F.coalesce("mean", zeros), lambda x: F.round(x, 6)).alias("mean"))
+    )

@@ -10,6 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+TEXT_PARTITIONS = "spark.sparkwright.textPartitions"
+
+
 def get_spark(app: str = "sparkwright", cores: str = "*", partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; on a cluster the submitter sets these."""
     return (
@@ -21,6 +24,7 @@ def get_spark(app: str = "sparkwright", cores: str = "*", partitions: int = 8) -
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(TEXT_PARTITIONS, str(partitions))
         .getOrCreate()
     )
 
@@ -30,12 +34,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table whose rows cost much CPU. A small file can be one single split; such an
-    input is spread over the cores by key. Inputs with a split per core or more - any
-    large table - are left where they are, so nothing is shuffled there."""
+    """A table whose rows cost much CPU. Where the session sets a number of text partitions
+    (as a local one does, whose small files are single splits) the rows are dealt to that
+    many by key; otherwise they stay where they are."""
     df = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    parts = spark.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(parts), key) if parts else df
 
 
 def _is_local(spark: SparkSession) -> bool:

@@ -29,22 +29,32 @@ def scan_csv(
     schema: T.StructType | None = None,
     header: bool = True,
     null_token: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Delimited scan. A given schema avoids the extra pass that inference costs;
-    ``null_token`` names the text that stands for a missing value. Quoted values
-    may hold line ends when the schema has text columns."""
-    reader = spark.read.option("header", header).option("escape", '"')
-    if null_token is not None:
-        reader = reader.option("nullValue", null_token)
+    ``null_token`` names the text that stands for a missing value. Without one, nothing
+    between two delimiters is missing and a pair of quotes is an empty text. Quoted values
+    may hold line ends; a file is then one split, so pass ``multi_line=False`` for large
+    single files without such values."""
+    reader = (
+        spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
+    )
+    # Any token that no value equals tells missing from empty.
+    reader = reader.option("nullValue", null_token or "\u0001")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
 def sink_csv(df: DataFrame, path: str, header: bool = True, null_token: str = "") -> None:
+    """Delimited sink; empty texts are written as a pair of quotes, blanks at the edges of
+    a text stay."""
     (
         df.write.option("header", header)
         .option("nullValue", null_token)
+        .option("emptyValue", '""')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -1,10 +1,14 @@
 """Text expressions against Python's own regular expressions on hand-made rows."""
 
 import html
+import random
 import re
+import time
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparkwright.functions import text as T
 from sparkwright.functions.stopwords import default_stop_words
 
@@ -102,3 +106,40 @@ def test_null_stays_null(spark):
     df = spark.createDataFrame([(None,)], "text string")
     r = df.select(T.clean_text("text").alias("c"), T.email_count("text").alias("m")).first()
     assert r["c"] in (None, "") and r["m"] in (None, 0)
+
+
+def _counts(spark, texts, expr):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r[0] for r in df.select("i", expr.alias("x")).orderBy("i").select("x").collect()]
+
+
+def test_fast_patterns_equal_the_plain_ones(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("ab1.-@<>[( ]:=é\n/!s") for _ in range(rng.randrange(40))) for _ in range(4000)]
+    texts += ["a.b@c.d-e@f", ".-a@b", "<.ab@c>:12", "a@b", "ab@@cd", "", "<>", "<a", "<!-- x <b> y"]
+    plain = F.regexp_replace("t", T.MAIL, "[MAIL]")
+    fast = F.regexp_replace("t", T.MAIL_RUN, "$1[MAIL]")
+    assert _counts(spark, texts, fast) == _counts(spark, texts, plain)
+    count = F.regexp_count("t", F.lit(T.MAIL))
+    assert _counts(spark, texts, F.regexp_count("t", F.lit(T.MAIL_RUN))) == _counts(spark, texts, count)
+    tags = F.regexp_count("t", F.lit(T.TAG)).cast("bigint")
+    assert _counts(spark, texts, T.tag_count("t")) == _counts(spark, texts, tags)
+    markup = F.regexp_replace("t", T.MARKUP, "")
+    assert _counts(spark, texts, T._drop_markup(F.col("t"))) == _counts(spark, texts, markup)
+
+
+def test_long_texts_take_linear_time(spark):
+    bad = ["a" * 1_000_000 + " x@", "<" * 1_000_000, "<!--" * 250_000, "</script" * 120_000, "<a " * 300_000,
+           "<script>" * 100_000, "a@" * 400_000]
+    df = spark.createDataFrame([(t,) for t in bad], "t string").coalesce(1)
+    started = time.time()
+    df.select(T.redact_pii("t"), T.tag_count("t"), T.email_count("t"), T.strip_markup("t")).write.format(
+        "noop"
+    ).mode("overwrite").save()
+    assert time.time() - started < 40
+
+
+def test_accents_of_all_scripts(spark):
+    assert _counts(spark, ["Čapek ő ş Việt é ø ß", None], T.strip_accents("t")) == [
+        "Capek o s Viet e ø ß", None
+    ]
