@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from sparkwright.session import materialize
 
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 

@@ -218,37 +218,49 @@ def score_batches(batches, model: Model):
 def unit_batches(batches):
     """Distinct units of each labelled text, and their beginnings of four to seven bytes."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            letters, length, _, _, _ = units_of(batch.column(1).slice(i, 1))
-            names = set()
+        labels, text = np.asarray(batch.column(0)), batch.column(1)
+        for lo, hi in _pieces(text):
+            letters, length, unit, row, _ = units_of(text.slice(lo, hi - lo))
+            names = []
             for x, n in zip(letters, length.tolist()):
                 word = bytes(x[: min(n, UNIT)])
-                names.update({word} | {word[:k] for k in range(5, 9) if k < n - 1})
-            names = [w.decode("utf-8", "ignore") for w in names if len(w) > 4]
+                forms = {word} | {word[:k] for k in range(5, 9) if k < n - 1}
+                names.append([w.decode("utf-8", "ignore") for w in forms if len(w) > 4])
+            held = [set() for _ in range(hi - lo)]
+            for r, u in zip(row.tolist(), unit.tolist()):
+                held[r].update(names[u])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array([batch.column(0)[i].as_py()] * len(names), pa.int32())],
+                [
+                    pa.array([x for h in held for x in h], pa.string()),
+                    pa.array(np.repeat(labels[lo:hi], [len(h) for h in held]).astype(np.int32)),
+                ],
                 ["unit", "label"],
             )
 
 
 def witness_batches(batches, words: list[str], direction: np.ndarray):
-    """The most toxic sentence of each labelled text by ``direction``; of clean texts its
-    next sentences in that order as well."""
+    """The most toxic sentence of each labelled text by ``direction``; of clean texts the
+    next two in that order as well."""
     landmarks = Landmarks(words)
     for batch in batches:
-        labels, rows = [], []
-        for i in range(batch.num_rows):
-            label = batch.column(0)[i].as_py()
-            _, kernels = sentence_kernels(batch.column(1).slice(i, 1), landmarks)
-            order = np.argsort(-(kernels @ direction), kind="stable")
-            for r in order[: 1 if label else 3]:
-                labels.append(label)
-                rows.append(kernels[r])
-        if rows:
-            flat = np.concatenate(rows)
-            step = np.arange(len(rows) + 1) * len(words)
+        labels, text = np.asarray(batch.column(0)), batch.column(1)
+        for lo, hi in _pieces(text):
+            row, kernels = sentence_kernels(text.slice(lo, hi - lo), landmarks)
+            if not len(row):
+                continue
+            order = np.lexsort((-(kernels @ direction), row))
+            row = row[order]
+            begin = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            place = np.arange(len(row)) - np.repeat(begin, np.diff(np.r_[begin, len(row)]))
+            label = labels[lo:hi][row]
+            keep = place < np.where(label == 1, 1, 3)
+            step = np.arange(keep.sum() + 1) * len(words)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()), W.lists(flat, step, pa.float32())], ["label", "kernel"]
+                [
+                    pa.array(label[keep].astype(np.int32)),
+                    W.lists(kernels[order][keep].ravel(), step, pa.float32()),
+                ],
+                ["label", "kernel"],
             )
 
 
@@ -307,27 +319,31 @@ def _spread(words: list[str], many: int, taken: list[str], near: float = 0.5) ->
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", label_col: str = "label",
-    sample: int = 1500, toxic_landmarks: int = 40, clean_landmarks: int = 8, rounds: int = 3,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "label", sample: int = 1500, toxic_landmarks: int = 40,
+    clean_landmarks: int = 8, rounds: int = 3,
 ) -> Model | None:
     """Train on at most ``sample`` documents of each label (0 and 1; the bound is the one
-    limit of the training set), chosen by a hash of the text. Null texts and labels are
-    left out. None if either label is missing."""
-    spark = labelled.sparkSession
+    limit of the training set), chosen by a hash of the id. Null texts, ids and labels are
+    left out, and labels without a document; of several labels of one id the larger
+    counts. None if either label is missing."""
+    spark = docs.sparkSession
     ship_package(spark)
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1)).select(
-        F.col(label_col).cast("int").alias("label"),
-        F.xxhash64(text_col).alias("draw"),
-        F.col(text_col).alias("text"),
+    texts = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
+    known = (
+        labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
+        .groupBy(F.col(id_col).alias("id"))
+        .agg(F.max(F.col(label_col).cast("int")).alias("label"))
+        .join(texts.select("id").distinct(), "id", "left_semi")
     )
-    drawn = rows.select("label", "draw")
     chosen = None
     for label in (0, 1):
-        some = drawn.where(F.col("label") == label).orderBy("draw").limit(sample)
+        some = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample)
         chosen = some if chosen is None else chosen.unionByName(some)
-    # At most two samples of hashes.
-    texts = rows.join(F.broadcast(chosen.distinct()), ["label", "draw"]).select("label", "text")
-    texts = materialize(texts, "labelled")
+    # At most two samples of ids go to the texts; no text is shuffled.
+    texts = materialize(texts.join(F.broadcast(chosen), "id").select("label", "text"), "labelled")
     n = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
         return None
@@ -385,7 +401,7 @@ def in_training(id_col: str = "doc_id"):
 
 def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model | None:
     known = labels.where(in_training(id_col)).select(id_col, F.col("toxic").alias("label"))
-    return fit(docs.select(id_col, "text").join(known, id_col))
+    return fit(docs, known, id_col)
 
 
 def without_toxic(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
