@@ -59,7 +59,7 @@ class Index:
         scores = np.zeros((n, q), dtype=np.int64)
         length = np.sqrt((queries.astype(np.float64) ** 2).sum(1)) * (1 + 1e-9)
         take = min(k, n)
-        lowest = np.iinfo(np.int64).min
+        lowest = -(2**62)  # below any score, and safe to negate
         open_ = ~banned
         for c in self.levels:
             for d in range(queries.shape[1]):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from sparkwright.llm import words as W
 from sparkwright.session import materialize, ship_package
 
-DECAY, SPAN = 0.5, 7
+DECAY, SPAN = 0.65, 7
 UNIT = 24
 INNER = UNIT - 2
 SLOTS = 1 << 18
@@ -354,9 +354,14 @@ def fit(
     rate_t = (F.col("t") + 0.5) / (n[1] + 1)
     rate_c = (F.col("c") + 0.5) / (n[0] + 1)
     gain = F.log(rate_t / rate_c) * F.col("t") / n[1]
-    # A fixed number of the best words each.
-    toxic = [r.unit for r in seen.where("t > 2").orderBy(gain.desc(), "unit").limit(1000).collect()]
-    clean = [r.unit for r in seen.where("c > 2").orderBy((F.log(rate_c / rate_t) * F.col("c") / n[0]).desc(), "unit").limit(300).collect()]
+    loss = F.log(rate_c / rate_t) * F.col("c") / n[0]
+
+    def best(rows, value, many):
+        """A fixed number of the best units; of equal ones the longer."""
+        order = [value.desc(), F.length("unit").desc(), F.col("unit")]
+        return [r.unit for r in rows.orderBy(*order).limit(many).collect()]
+
+    toxic, clean = best(seen.where("t > 2"), gain, 1000), best(seen.where("c > 2"), loss, 300)
     toxic = _spread(toxic, toxic_landmarks, [])
     words = toxic + _spread(clean, clean_landmarks, toxic)
     if not words:
