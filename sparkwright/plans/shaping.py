@@ -88,15 +88,34 @@ def drop_blank_rows(spark, d):
     return S.drop_blank_rows(digits, "digits")
 
 
+GUARD_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+GUARD_TARGETS = [*GUARD_FEATURES, "l_extendedprice"]
+
+
+def _guarded(target: str) -> bool:
+    try:
+        S.leak_guard(GUARD_FEATURES, target)
+    except ValueError:
+        return True
+    return False
+
+
 @query(
     "leak_guard",
-    "SELECT count(*) AS n, avg(l_quantity) AS mean_quantity FROM lineitem",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS target, {'false' if c == 'l_extendedprice' else 'true'} AS raises, "
+        f"count({c}) AS n FROM lineitem"
+        for c in GUARD_TARGETS
+    ),
 )
 def leak_guard(spark, d):
-    li = load(spark, d, "lineitem")
-    features = li.drop("l_extendedprice").columns
-    S.leak_guard(features, "l_extendedprice")
-    return li.agg(F.count("*").alias("n"), F.avg("l_quantity").alias("mean_quantity"))
+    """Whether the guard stops each column as a target, and how many values it has."""
+    counts = load(spark, d, "lineitem").agg(*(F.count(c).alias(c) for c in GUARD_TARGETS))
+    rows = [
+        F.struct(F.lit(c).alias("target"), F.lit(_guarded(c)).alias("raises"), F.col(c).alias("n"))
+        for c in GUARD_TARGETS
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 @query(
