@@ -69,6 +69,12 @@ class Items:
         self.flags = np.zeros(1 << TABLE_BITS, dtype=bool)
         self.flags[(self.token >> W.U(64 - TABLE_BITS)).astype(np.int64)] = True
         self.lengths = np.unique(self.sizes)
+        # token -> lengths of the items that have it.
+        token = np.searchsorted(self.token, np.concatenate(self.shingles))
+        slot = np.searchsorted(self.lengths, np.repeat(self.sizes, [len(s) for s in self.shingles]))
+        pairs = np.unique(token * len(self.lengths) + slot)
+        self.slot_of = pairs % len(self.lengths)
+        self.slot_begin = np.searchsorted(pairs // len(self.lengths), np.arange(len(self.token) + 1))
         # (length, part, value) -> items: all values within the part's share of the radius.
         near = [
             sum(1 << b for b in bits)
@@ -99,12 +105,17 @@ class Items:
         known = self.token[at] == tokens
         return np.where(known, self.weight[at], self.other), known
 
-    def known(self, tokens: np.ndarray) -> np.ndarray:
-        maybe = np.flatnonzero(self.flags[(tokens >> W.U(64 - TABLE_BITS)).astype(np.int64)])
-        out = np.zeros(len(tokens), dtype=bool)
-        if len(maybe):
-            out[maybe] = self.weigh(tokens[maybe])[1]
-        return out
+    def places(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, length number) for every place of a token that items have, once for
+        each length of such items."""
+        at = np.flatnonzero(self.flags[(tokens >> W.U(64 - TABLE_BITS)).astype(np.int64)])
+        which = np.minimum(np.searchsorted(self.token, tokens[at]), len(self.token) - 1)
+        same = self.token[which] == tokens[at]
+        at, which = at[same], which[same]
+        low = self.slot_begin[which]
+        count = self.slot_begin[which + 1] - low
+        inner = np.arange(count.sum()) + np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count)
+        return np.repeat(at, count), self.slot_of[inner]
 
     def candidates(self, prints: np.ndarray, slot: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs of this length within the radius."""
@@ -153,18 +164,18 @@ def _hits(hashes: np.ndarray, items: Items, threshold: float):
     for short in items.lengths[items.lengths < k]:
         if short <= n:
             grams[int(short)] = W.grams(hashes, int(short))
-    marks = {g: np.flatnonzero(items.known(x)) for g, x in grams.items()}
-    if not any(len(m) for m in marks.values()):
-        return found
-    for slot, size in enumerate(items.lengths.tolist()):
-        g = min(k, size)
+    marks = []
+    for g, x in grams.items():
+        at, slots = items.places(x)
+        marks += [(s, g, at[slots == s]) for s in np.unique(slots).tolist()]
+    for slot, g, hits in marks:
+        size = int(items.lengths[slot])
         # A text a little shorter than the item is one window.
         length = min(size, n)
-        if length < max(1, threshold * size) or g not in grams:
+        if length < max(1, threshold * size) or g != min(k, size):
             continue
         last = n - length
-        hits = marks[g]
-        # Starts of windows that hold a marked shingle.
+        # Starts of windows that hold a shingle of an item of this length.
         edge = np.zeros(last + 2, dtype=np.int64)
         lo = np.clip(hits - (length - g), 0, last)
         hi = np.clip(hits, 0, last)
