@@ -81,12 +81,18 @@ def mix(
     n_words = F.when(F.col(text_col).isNull(), 0).otherwise(
         F.regexp_count(F.col(text_col), F.lit(WORD))
     )
+    draw = F.md5(
+        F.concat_ws(
+            "|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("-")),
+            F.coalesce(F.md5(text_col), F.lit("-")),
+        )
+    )
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         n_words.cast("long").alias("size"),
         F.xxhash64(text_col).alias("key"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("draw"),
+        F.conv(F.substring(draw, 1, 15), 16, 10).cast("long").alias("draw"),
     )
     rows = materialize(rows, "sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
@@ -99,8 +105,8 @@ def mix(
         ),
         "targets",
     )
-    # A range of the draws, in order: the draw as a fraction of all longs times the ranges.
-    fraction = F.col("draw") / F.lit(float(2**64)) + 0.5
+    # A range of the draws, in order: the draw, of 60 bits, as a fraction times the ranges.
+    fraction = F.col("draw") / F.lit(float(2**60))
     placed = rows.join(goal, F.col("source").eqNullSafe(F.col("s"))).withColumn(
         "range", F.floor(fraction * F.col("ranges"))
     )
