@@ -16,6 +16,7 @@ from sparkwright.llm import (
     substring,
     topk,
     toxicity,
+    twins,
     urls,
 )
 from sparkwright.session import load
@@ -34,12 +35,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op2_substring_dedup")
+@query("op2_substring_dedup", twins.SUBSTRING_DEDUP)
 def op2(spark: SparkSession, d: str) -> DataFrame:
     return substring.remove(load(spark, d, "documents"), with_text=False)
 
 
-@query("op5_ngram_jaccard_join")
+@query("op5_ngram_jaccard_join", twins.NGRAM_JACCARD_JOIN)
 def op5(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.classes(load(spark, d, "documents"))
 
@@ -53,7 +54,7 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("op10_mixing")
+@query("op10_mixing", twins.MIXING)
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(load(spark, d, "documents")).drop("key")
 
@@ -89,7 +90,7 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(load(spark, d, "documents"))
 
 
-@query("op9_chat_formatting")
+@query("op9_chat_formatting", twins.CHAT_FORMATTING)
 def op9(spark: SparkSession, d: str) -> DataFrame:
     rows = load(spark, d, "conversations").select(
         "conv_id", "turn", "role", "text", F.lit(False).alias("probe")
@@ -124,7 +125,7 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     return benchmark.contaminated(load(spark, d, "documents"), load(spark, d, "benchmark"))
 
 
-@query("op6_exact_top_k")
+@query("op6_exact_top_k", twins.EXACT_TOP_K)
 def op6(spark: SparkSession, d: str) -> DataFrame:
     vectors = load(spark, d, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
