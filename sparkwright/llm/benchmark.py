@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.llm import words as W
-from sparkwright.session import ship_package
+from sparkwright.session import materialize, ship_package
 
 ITEM_BLOCK = 20_000
 PARTS, PART_BITS = 8, 8
@@ -280,5 +280,6 @@ def contaminated(
 def without(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that hold an item; columns unchanged. Documents with
     a null id stay."""
-    bad = contaminated(docs, items, id_col, **options).select(id_col).distinct()
+    # Written, so that Spark knows the size of the list and moves no text if it is small.
+    bad = materialize(contaminated(docs, items, id_col, **options).select(id_col).distinct(), "leaks")
     return docs.join(bad, id_col, "left_anti").select(*docs.columns)

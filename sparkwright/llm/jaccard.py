@@ -471,4 +471,6 @@ def keep_one(
     """
     found = classes(docs, id_col, text_col, words, percent)
     gone = found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
+    # Written, so that Spark knows the size of the list and moves no text if it is small.
+    gone = materialize(gone, "copies")
     return docs.join(gone, id_col, "left_anti")

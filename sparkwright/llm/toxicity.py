@@ -50,9 +50,11 @@ def units_of(texts: pa.Array):
     follows = np.r_[W.SPACE[data[1:]], [True]] if len(data) else np.zeros(0, dtype=bool)
     mark = (MARK[data] & follows) | (data == 0x0A)
     keep = ~W.NOT_ALNUM[data] | W.SPACE[data]
-    sentence = np.cumsum(mark)[keep]
-    kept = np.r_[0, np.cumsum(keep)]
-    data, offsets = data[keep], kept[offsets]
+    sentence = np.cumsum(mark, dtype=np.int32)[keep]
+    kept = np.zeros(len(keep) + 1, dtype=np.int32)
+    np.cumsum(keep, out=kept[1:])
+    data, offsets = data[keep], kept[offsets].astype(np.int64)
+    del kept, mark, keep
     starts, ends, first = W.word_bounds(data, offsets)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     where = sentence[starts] if len(starts) else np.zeros(0, dtype=np.int64)
@@ -193,7 +195,7 @@ class Model:
         return (self.root @ self.weight).astype(np.float32)
 
 
-def _pieces(texts: pa.Array, limit: int = 4 << 20):
+def _pieces(texts: pa.Array, limit: int = 2 << 20):
     """Row ranges of about ``limit`` bytes; a longer text is alone."""
     _, offsets = W.text_bytes(texts)
     return W.spans_of_rows(offsets, limit)

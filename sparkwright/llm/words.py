@@ -8,8 +8,6 @@ with a chance of about 2**-64.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,7 +16,7 @@ U = np.uint64
 BYTE_BASE = U(0x9E3779B97F4A7C15)
 WORD_BASE = U(0xD1342543DE82EF95)
 WORD_BASE_2 = U(0xAF251AF3B0F025B5)
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def _flags(*ranges: tuple[int, int]) -> np.ndarray:
@@ -49,21 +47,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_VALUE = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    inverse = pow(base, -1, 1 << 64)
-    out = []
-    for b in (base, inverse):
-        p = np.full(n, b, dtype=U)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=U))
-    return out[0], out[1]
+# The longest tables so far of each base; shorter ones are their beginnings.
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(12, int(n).bit_length())
-    return _powers(int(base), size)
+    """base**i and base**-i modulo 2**64 for i < n, or more."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known[0]) < n:
+        size = 1 << max(12, int(n).bit_length())
+        inverse = pow(int(base), -1, 1 << 64)
+        out = []
+        for b in (int(base), inverse):
+            p = np.full(size, b, dtype=U)
+            p[0] = 1
+            out.append(np.cumprod(p, dtype=U))
+        known = _POWERS[int(base)] = (out[0], out[1])
+    return known
 
 
 def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,12 +120,19 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 def words_of(
     texts: pa.Array | pa.ChunkedArray, lower: bool = False, separators: np.ndarray = SPACE
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, and the index of each text's first word."""
+    """Hashes of all words of all texts, and the index of each text's first word. Texts
+    are worked through some rows at a time; a longer text is alone."""
     data, offsets = text_bytes(texts)
-    if lower:
-        data = LOWER[data]
-    starts, ends, first = word_bounds(data, offsets, separators)
-    return hash_words(data, starts, ends), first
+    hashes, first, n = [], [np.zeros(1, dtype=np.int64)], 0
+    for lo, hi in spans_of_rows(offsets, PIECE):
+        part = data[offsets[lo] : offsets[hi]]
+        if lower:
+            part = LOWER[part]
+        starts, ends, at = word_bounds(part, offsets[lo : hi + 1] - offsets[lo], separators)
+        hashes.append(hash_words(part, starts, ends))
+        first.append(at[1:] + n)
+        n += len(starts)
+    return np.concatenate(hashes) if hashes else np.zeros(0, dtype=U), np.concatenate(first)
 
 
 def grams(hashes: np.ndarray, k: int, base: np.uint64 = WORD_BASE) -> np.ndarray:
