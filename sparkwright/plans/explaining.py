@@ -250,14 +250,12 @@ def _scored(spark, d, fit):
 
 @query("tree_classifier")
 def tree_classifier(spark, d):
-    return _scored(spark, d, lambda t: L.tree_classifier(t, "label", max_depth=5))
+    return _scored(spark, d, lambda t: L.tree_classifier(t, "label"))
 
 
 @query("forest_classifier")
 def forest_classifier(spark, d):
-    return _scored(
-        spark, d, lambda t: L.forest_classifier(t, "label", trees=300, max_depth=6, weight="weight")
-    )
+    return _scored(spark, d, lambda t: L.forest_classifier(t, "label", weight="weight"))
 
 
 @query("logistic_tabular")
@@ -272,7 +270,7 @@ def _rows(spark, records):
 
 def _cart(spark, d):
     train = tabular(spark, d).where("is_test = 0")
-    return L.tree_classifier(train, "label", max_depth=8), train
+    return L.tree_classifier(train, "label"), train
 
 
 @query("tree_prune_path")
@@ -308,12 +306,12 @@ def impurity_importance(spark, d):
 
 def _tuned_tree(spark, train):
     """Pruning strength chosen by cross-validated ROC-AUC on the training rows."""
-    full = L.tree_classifier(train, "label", max_depth=8)
+    full = L.tree_classifier(train, "label")
     nodes = C.tree_nodes(full, spark)
     alphas = C.prune_alphas(nodes)
 
     def fit_score(part, valid):
-        model = L.tree_classifier(part, "label", max_depth=8)
+        model = L.tree_classifier(part, "label")
         return C.score_pruned(
             model, C.tree_nodes(model, spark), valid, alphas, ["doc_id", "label", "fold"]
         )
@@ -336,18 +334,16 @@ def _classifiers(spark, best_alpha):
         return valid.select(*keep, share.alias("p"))
 
     def pruned(part, valid):
-        model = L.tree_classifier(part, "label", max_depth=8)
+        model = L.tree_classifier(part, "label")
         return C.score_pruned(model, C.tree_nodes(model, spark), valid, [best_alpha], keep).select(
             *keep, "p"
         )
 
     return {
         "Dummy Baseline": dummy,
-        "Basic CART": plain(lambda t: L.tree_classifier(t, "label", max_depth=8)),
+        "Basic CART": plain(lambda t: L.tree_classifier(t, "label")),
         "Tuned & Pruned CART": pruned,
-        "Random Forest": plain(
-            lambda t: L.forest_classifier(t, "label", trees=50, max_depth=6, weight="weight")
-        ),
+        "Random Forest": plain(lambda t: L.forest_classifier(t, "label", weight="weight")),
         "Logistic Regression": plain(lambda t: L.logistic(t, "label", weight="weight")),
     }
 
@@ -425,7 +421,7 @@ def logistic_text(spark, d):
     )
     rows = materialize(split.join(vectors, "doc_id"), "vectors")
     train = E.class_weight(rows.where("is_test = 0"), "label")
-    model = L.logistic(train, "label", c=0.1, weight="weight", max_iter=200)
+    model = L.logistic(train, "label", c=0.1, weight="weight")
     out = L.with_probability(model.transform(rows.where("is_test = 1")))
     return out.select(
         "doc_id", "label", F.round("p", 4).alias("p"), F.col("prediction").cast("int").alias("prediction")
@@ -444,7 +440,7 @@ def embedding_classifier(spark, d):
     )
     rows = materialize(rows, "mean-vectors")
     train = E.class_weight(rows.where("is_test = 0"), "label")
-    model = L.logistic(train, "label", weight="weight", max_iter=200)
+    model = L.logistic(train, "label", weight="weight")
     out = L.with_probability(model.transform(rows.where("is_test = 1")))
     return out.select(
         "doc_id", "label", F.round("p", 4).alias("p"), F.col("prediction").cast("int").alias("prediction")
@@ -453,9 +449,12 @@ def embedding_classifier(spark, d):
 
 @query("score_stream")
 def score_stream_query(spark, d):
-    """Fit on the labelled training texts, then stream the whole documents table."""
-    docs = P.random_split(labelled_docs(spark, d), "doc_id")
-    model = text_pipeline(docs.where("is_test = 0").select("text", "label"))
+    """Fit the model of logistic_text on its training texts, then stream the whole
+    documents table."""
+    docs = labelled_docs(spark, d)
+    split = P.stratified_split(docs.select("doc_id", "label"), "label", "doc_id", 0.3, seed=0)
+    train = docs.join(split.where("is_test = 0").select("doc_id"), "doc_id")
+    model = text_pipeline(train.select("text", "label"))
     source = scratch_path(spark, "stream-in")
     texts = load(spark, d, "documents").select("doc_id", "text")
     texts.write.parquet(source)

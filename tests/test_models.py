@@ -96,3 +96,27 @@ def test_tree_beats_the_mean(spark, sf):
     train, test, _ = _part_split(spark, sf)
     fit = L.tree_regressor(train, "label", max_depth=8)
     assert regression_metrics(fit.transform(test), "label", "prediction").first()["r2"] > 0.5
+
+
+@pytest.mark.parametrize(
+    "name, operator",
+    [("tree_classifier", "tree_classifier"), ("forest_classifier", "forest_classifier"),
+     ("tree_shape", "tree_classifier"), ("tree_regressor", "tree_regressor"),
+     ("forest_regressor", "forest_regressor"), ("gbt_regressor", "gbt_regressor"),
+     ("logistic_text", "logistic"), ("score_stream", "logistic"), ("embedding_classifier", "logistic")],
+)
+def test_queries_fit_with_the_defaults_of_their_operator(spark, sf, monkeypatch, name, operator):
+    from sparkwright.operators import models
+    from sparkwright.plans.registry import QUERIES, load_all
+
+    class Seen(Exception):
+        pass
+
+    def fit(*args, **options):
+        raise Seen(sorted(options))
+
+    load_all()
+    monkeypatch.setattr(models, operator, fit)
+    with pytest.raises(Seen) as seen:
+        QUERIES[name](spark, sf)
+    assert not {"max_depth", "trees", "rounds", "max_iter"} & set(seen.value.args[0])
