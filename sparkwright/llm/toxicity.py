@@ -59,14 +59,16 @@ def units_of(texts: pa.Array):
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     where = sentence[starts] if len(starts) else np.zeros(0, dtype=np.int64)
 
-    # Runs of three or more single letters are one unit more.
+    # Runs of three or more single letters are one unit more; a run ends with its text.
     size = ends - starts
     single = (size == 1) | ((size == 2) & (data[starts] >= 0xC2)) if len(starts) else size > 0
-    edge = np.flatnonzero(np.diff(np.r_[False, single, False].astype(np.int8)))
-    runs = [(a, b) for a, b in zip(edge[::2], edge[1::2]) if b - a >= 3]
+    cut = np.r_[True, row[1:] != row[:-1], True] if len(row) else np.ones(1, dtype=bool)
+    begin = np.flatnonzero(single & (cut[:-1] | ~np.r_[False, single][:-1]))
+    end = np.flatnonzero(single & (cut[1:] | ~np.r_[single, False][1:])) + 1
     joined = [
-        (row[a], where[a], np.concatenate([data[starts[i] : ends[i]] for i in range(a, b) if row[i] == row[a]]))
-        for a, b in runs
+        (row[a], where[a], np.concatenate([data[starts[i] : ends[i]] for i in range(a, b)]))
+        for a, b in zip(begin, end)
+        if b - a >= 3
     ]
 
     long = np.flatnonzero(size > INNER)

@@ -219,3 +219,25 @@ def test_units():
     assert per[0] == [" one ", " two ", " id "] and per[1] == []
     assert " abc " in per[2] and " dd " in per[2]
     assert len(per[3]) > 1 and where[0] == where[1] and where[2] > where[1]
+
+
+def test_runs_of_single_letters_end_with_their_text():
+    def names(texts):
+        letters, length, unit, row, _ = toxicity.units_of(pa.array(texts, pa.string()))
+        spelt = [bytes(x[:n]).decode() for x, n in zip(letters, length)]
+        return [sorted(spelt[u] for u in unit[row == i]) for i in range(len(texts))]
+
+    texts = ["take vitamin c", "i d i o t you", "a b c", "d e f", None, "x", "y", "z", "", "m o r o n", "a b"]
+    together = names(texts)
+    assert together == [names([t])[0] for t in texts]
+    assert " idiot " in together[1] and " def " in together[3] and " moron " in together[9]
+    assert names([]) == [] and names([None, ""]) == [[], []]
+
+
+def test_a_text_scores_alike_beside_others(spark, taught):
+    _, _, model = taught
+    texts = ["the ou vitamin c", "i d i o t", "a b c", "m o r o n"]
+    together = toxicity.score(documents(spark, list(enumerate(texts))).coalesce(1), model).collect()
+    for i, text in enumerate(texts):
+        alone = toxicity.score(documents(spark, [(i, text)]), model).first()
+        assert [r.score for r in together if r.doc_id == i] == pytest.approx([alone.score])
