@@ -64,6 +64,8 @@ class Items:
     weight: np.ndarray
     other: float
     k: int
+    # Shingles of other blocks that a text holds, sorted, and their weights.
+    more: tuple[np.ndarray, np.ndarray] | None = None
 
     def __post_init__(self):
         self.flags = np.zeros(1 << TABLE_BITS, dtype=bool)
@@ -103,7 +105,12 @@ class Items:
         """The weight of each shingle, and whether an item has it."""
         at = np.minimum(np.searchsorted(self.token, tokens), len(self.token) - 1)
         known = self.token[at] == tokens
-        return np.where(known, self.weight[at], self.other), known
+        weights = np.where(known, self.weight[at], self.other)
+        if self.more is not None and len(self.more[0]):
+            token, weight = self.more
+            at = np.minimum(np.searchsorted(token, tokens), len(token) - 1)
+            weights = np.where(~known & (token[at] == tokens), weight[at], weights)
+        return weights, known
 
     def places(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, length number) for every place of a token that items have, once for
@@ -140,15 +147,18 @@ def _similarity(a: np.ndarray, b: np.ndarray, items: Items) -> float:
     return float(shared / total) if total > 0 else 0.0
 
 
-def _index(ids, hashes, first, k: int, n_items: int, df: dict) -> Items:
+def _index(ids, hashes, first, k: int, n_items: int, df: tuple[np.ndarray, np.ndarray]) -> Items:
+    """``df``: sorted shingles that several items have, and the number of these."""
     rows = [i for i in range(len(ids)) if first[i + 1] > first[i]]
     shingles = [_shingles(hashes[first[i] : first[i + 1]], k) for i in rows]
     token = np.unique(np.concatenate(shingles))
     rare = lambda n: 1 + math.log(n_items / n)
-    weight = np.array([rare(df.get(int(t), 1)) for t in token])
+    weight = np.full(len(token), rare(1))
+    _, at, other = np.intersect1d(token, df[0], assume_unique=True, return_indices=True)
+    weight[at] = rare(1) - np.log(df[1][other])
     sizes = np.array([first[i + 1] - first[i] for i in rows])
     items = Items.__new__(Items)
-    items.token, items.weight, items.other = token, weight, rare(1)  # all that weigh() needs
+    items.token, items.weight, items.other, items.more = token, weight, rare(1), None  # for weigh()
     begin = np.cumsum([0, *map(len, shingles)])[:-1]
     flat = np.concatenate(shingles)
     prints = _simhash(flat, items.weigh(flat)[0], begin)
@@ -197,11 +207,22 @@ def _hits(hashes: np.ndarray, items: Items, threshold: float):
     return found
 
 
+def _weights(shared: list | None, other: float) -> tuple[np.ndarray, np.ndarray] | None:
+    if not shared:
+        return None
+    token = np.array([x["token"] for x in shared], dtype=np.int64).view(W.U)
+    order = np.argsort(token)
+    return token[order], other - np.log(np.array([x["n"] for x in shared], dtype=float)[order])
+
+
 def scan_batches(batches, items: Items, threshold: float):
     for batch in batches:
         out = ([], [], [], [], [])
         hashes, first = _words(batch.column(1))
+        shared = batch.column(2).to_pylist() if batch.num_columns > 2 else None
         for d in range(batch.num_rows):
+            if shared is not None:
+                items.more = _weights(shared[d], items.other)
             found = _hits(hashes[first[d] : first[d + 1]], items, threshold)
             for j, (start, length, s) in found.items():
                 for column, x in zip(out, (d, int(items.ids[j]), start, length, s)):
@@ -222,6 +243,44 @@ def item_shingles(batches, k: int):
             yield pa.RecordBatch.from_arrays([pa.array(W.signed(s))], ["token"])
 
 
+def text_shingles(batches, k: int, flags: np.ndarray):
+    """(key, token) for the shingles of each text, of every length up to ``k``, whose
+    leading bits are flagged."""
+    for batch in batches:
+        hashes, first = _words(batch.column(1))
+        for i in range(batch.num_rows):
+            words = hashes[first[i] : first[i + 1]]
+            for g in range(1, k + 1):
+                s = np.unique(W.grams(words, g))
+                s = s[flags[(s >> W.U(64 - TABLE_BITS)).astype(np.int64)]]
+                if len(s):
+                    key = batch.column(0).take(pa.array(np.full(len(s), i, dtype=np.int32)))
+                    yield pa.RecordBatch.from_arrays([key, pa.array(W.signed(s))], ["key", "token"])
+
+
+def _with_shared(rows: DataFrame, shared: DataFrame, k: int) -> DataFrame:
+    """``rows`` (doc, text) with ``shared``, the (token, n) of the shared shingles that each
+    text holds. The shingles are looked up in the partitioned table of ``shared``; only
+    those whose leading bits occur there are moved."""
+    spark = rows.sparkSession
+    slot = F.shiftrightunsigned("token", 64 - TABLE_BITS)
+    flags = np.zeros(1 << TABLE_BITS, dtype=bool)
+    flags[shared.select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
+    hidden = spark.sparkContext.broadcast(flags)
+    held = (
+        rows.select(F.md5("text").alias("key"), "text")
+        .where(F.col("key").isNotNull())
+        .mapInArrow(lambda b: text_shingles(b, k, hidden.value), "key string, token long")
+        .distinct()
+        .join(shared, "token")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("token", "n")).alias("shared"))
+    )
+    return rows.join(
+        materialize(held, "text-shingles"), F.md5("text") == F.col("key"), "left"
+    ).select("doc", "text", "shared")
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", words: int = 5, threshold: float = 0.75,
@@ -241,28 +300,30 @@ def contaminated(
         F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")
     )
     n = known.count()
-    common = {
-        r.token: r.n
-        for r in known.select("text")
-        .mapInArrow(functools.partial(item_shingles, k=words), "token long")
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "token")
-        .limit(1_000_000)
-        .collect()
-    } if n else {}
-    common = {int(np.int64(t).view(np.uint64)): c for t, c in common.items()}
+    def shingles(part: DataFrame) -> DataFrame:
+        return part.select("text").mapInArrow(functools.partial(item_shingles, k=words), "token long")
+
+    shared = materialize(
+        shingles(known).groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared"
+    )
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     blocks = max(1, -(-n // ITEM_BLOCK))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+    if blocks > 1:
+        # A block knows the weights of its own shingles; a text may hold those of others.
+        rows = materialize(_with_shared(rows, shared, words), "weighted")
     found = None
     for b in range(blocks):
-        part = known.where(block == b).orderBy("item", "text").collect()
+        here = known.where(block == b)
+        part = here.orderBy("item", "text").collect()
         hashes, first = _words(pa.array([r.text for r in part], pa.string()))
         if not len(hashes):
             continue
-        index = _index([r.item for r in part], hashes, first, words, n, common)
+        df = shared.join(shingles(here).distinct(), "token", "left_semi").toArrow()
+        token = df["token"].to_numpy().view(W.U)
+        order = np.argsort(token)
+        df = token[order], df["n"].to_numpy()[order]
+        index = _index([r.item for r in part], hashes, first, words, n, df)
         kind = docs.schema[id_col].dataType.simpleString()
         hits = rows.mapInArrow(
             functools.partial(scan_batches, items=index, threshold=threshold),

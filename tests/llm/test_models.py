@@ -241,3 +241,31 @@ def test_a_text_scores_alike_beside_others(spark, taught):
     for i, text in enumerate(texts):
         alone = toxicity.score(documents(spark, [(i, text)]), model).first()
         assert [r.score for r in together if r.doc_id == i] == pytest.approx([alone.score])
+
+
+def test_leaks_do_not_depend_on_the_blocks_of_items(spark, monkeypatch):
+    rng = random.Random(8)
+    plates = [words(rng, 12, 50) for _ in range(4)]
+    items, rows = [], []
+    for i in range(48):
+        w = words(rng, 26, 5000)
+        if i % 2:
+            w[20:] = plates[i % 4]
+        items.append((i, " ".join(w)))
+        # The words at one end become boilerplate of other items.
+        for cut in (4, 5, 6):
+            p = plates[(i + 1) % 4][:cut + 2] if i % 3 else plates[(i + 2) % 4][:cut]
+            rows.append((3 * i + cut - 4, " ".join(words(rng, 9, 5000) + p + w[cut:] + words(rng, 9, 5000))))
+    items += [(48, "a b"), (49, "a b"), (50, "c d"), (51, items[1][1])]
+    rows += [(500, None), (501, ""), (502, "x a b y c d"), (503, rows[0][1]), (None, rows[1][1])]
+    docs, table = documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        got = benchmark.contaminated(docs, table).collect()
+        return sorted(((r.doc_id, r.item_id, r.first_word, r.n_words, round(r.similarity, 9)) for r in got), key=str)
+
+    whole = found()
+    monkeypatch.setattr(benchmark, "ITEM_BLOCK", 5)
+    assert found() == whole
+    pairs, want = {(r[0], r[1]) for r in whole}, brute_leaks(rows, items)
+    assert pairs <= want and len(want - pairs) <= 0.01 * len(want)
