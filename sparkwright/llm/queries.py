@@ -10,6 +10,7 @@ from sparkwright.llm import (
     benchmark,
     chat,
     jaccard,
+    lexical,
     licenses,
     mixing,
     sharding,
@@ -131,4 +132,10 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+@query("op11_ranked_lexical_search", twins.RANKED_LEXICAL_SEARCH)
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    """Every benchmark item against all documents: its 50 best by the integer score."""
+    return lexical.search(load(spark, d, "documents"), load(spark, d, "benchmark"), k=50)
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

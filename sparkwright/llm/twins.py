@@ -141,3 +141,39 @@ SELECT doc_id, size, source_size, target,
        (passes * size + greatest(0, least(size, floor(target - passes * source_size) - before)))::BIGINT AS taken
 FROM drawn
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = f"translate(coalesce({{}}, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
+
+RANKED_LEXICAL_SEARCH = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWERED.format('text')}, '{_TERM}') AS ts
+  FROM documents
+),
+d2 AS (SELECT r, doc_id, ts, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+tot AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM d2),
+tf AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, n, unnest(ts) AS term FROM d2) GROUP BY ALL
+),
+wt AS (
+  SELECT term, floor(1000.0 * ln((2.0 * big_n + 2.0) / (2.0 * count(*) + 1.0)))::BIGINT AS w
+  FROM tf, tot GROUP BY term, big_n
+),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWERED.format('text')}, '{_TERM}')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+),
+s AS (
+  SELECT q.item_id, tf.r, tf.doc_id,
+         sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (50 + (50 * tf.n * tot.big_n) // tot.big_l))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN wt USING (term), tot
+  GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score,
+         (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank
+  FROM s WHERE score > 0 AND doc_id IS NOT NULL
+) WHERE rank <= 50
+"""
