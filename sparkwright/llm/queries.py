@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sparkwright.llm import (
     benchmark,
+    bpe,
     chat,
     jaccard,
     lexical,
@@ -20,7 +21,7 @@ from sparkwright.llm import (
     twins,
     urls,
 )
-from sparkwright.session import load
+from sparkwright.session import load, load_texts
 
 LLM_QUERIES = {}
 LLM_ORACLES = {}
@@ -138,4 +139,16 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
     return lexical.search(load(spark, d, "documents"), load(spark, d, "benchmark"), k=50)
 
 
+@query("op12_bpe_encoding")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    """Every text encoded with the byte-level 50k vocabulary and decoded again."""
+    coded = bpe.decode(bpe.encode(load_texts(spark, d, "documents", "doc_id")))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
