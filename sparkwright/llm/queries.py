@@ -14,6 +14,7 @@ from sparkwright.llm import (
     lexical,
     licenses,
     mixing,
+    repair,
     sharding,
     substring,
     topk,
@@ -151,4 +152,15 @@ def op12(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    """Every conversation damaged by its row hashes, then repaired at the least cost."""
+    fixed = repair.repaired(load(spark, d, "conversations"))
+    lines = F.array_join(F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"])), "\n")
+    return fixed.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(lines, 256).alias("repaired_sha256"),
+    )
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
