@@ -13,9 +13,11 @@ holding a term, tf its count in one document.
 
 Method (presence masks, exact):
 
-1. One scan makes the postings (row, term, c) and per term its df, w and the largest c of
-   any document (its impact). Postings are written once; terms of weight 0 add nothing and
-   are left out.
+1. One scan counts each text's terms inside its own task (Arrow's RE2 split and group-by
+   on bounded pieces of a batch), so only (row, term, tf) pairs are shuffled, never single
+   occurrences. From them come the postings (row, term, c) and per term its df, w and the
+   largest c of any document (its impact). Postings are written once; terms of weight 0
+   add nothing and are left out.
 2. A query's terms are *rare* or *frequent* (df above ``1 / FREQUENT_SHARE`` of N). Rare
    postings are joined to the queries; every document they reach is a candidate, whose
    frequent terms are then looked up by (row, term), so candidates get exact scores.
@@ -41,11 +43,14 @@ either table are ignored, also when their names clash.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkwright.session import materialize
+from sparkwright.session import materialize, ship_package
 
 # Fixed values of the contract: the term pattern and the letters that are lower-cased.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -61,26 +66,76 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+PIECE_BYTES = 8 << 20
+TF_SCHEMA = "row long, doc_id long, n long, term string, tf long, first boolean"
+
+
+def _pieces(batch: pa.RecordBatch):
+    """Slices of a batch with at most PIECE_BYTES of text, a longer text alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if total and total + size > PIECE_BYTES:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += int(size)
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def term_counts(batches):
+    """(row, doc_id, text) batches -> one row per distinct term of a text: its tf, the
+    text's n, and ``first`` on exactly one row of each text. All in Arrow kernels."""
+    out = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
+                     ("term", pa.string()), ("tf", pa.int64()), ("first", pa.bool_())])
+    for batch in batches:
+        for piece in _pieces(batch):
+            words = pc.split_pattern_regex(pc.ascii_lower(piece.column(2)), SEPARATORS)
+            flat = pc.list_flatten(words)
+            parent = pc.list_parent_indices(words)
+            keep = pc.not_equal(pc.binary_length(flat), 0)
+            flat, parent = pc.filter(flat, keep), pc.filter(parent, keep)
+            if len(flat) == 0:
+                continue
+            counts = pa.table({"p": parent, "term": flat}).group_by(["p", "term"]).aggregate([("term", "count")])
+            p = counts.column("p").combine_chunks()
+            n = pa.table({"p": parent}).group_by("p").aggregate([("p", "count")])
+            n_of = np.zeros(piece.num_rows, dtype=np.int64)
+            n_of[n.column("p").to_numpy()] = n.column("p_count").to_numpy()
+            pn = p.to_numpy()
+            first = np.zeros(len(pn), dtype=bool)
+            first[np.unique(pn, return_index=True)[1]] = True
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pc.take(piece.column(0), p),
+                    pc.take(piece.column(1), p),
+                    pa.array(n_of[pn]),
+                    counts.column("term").combine_chunks(),
+                    counts.column("term_count").cast(pa.int64()).combine_chunks(),
+                    pa.array(first),
+                ],
+                schema=out,
+            )
+
+
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Postings (row, doc_id, term, c, salt) and term statistics (term, df, w, impact),
-    written. A term's postings are dealt over ``df // SALT_ROWS + 1`` salts by row."""
+    written. A term's postings are dealt over ``df // SALT_ROWS + 1`` salts by row.
+    Terms are counted inside each text's task; only (row, term) pairs are shuffled."""
     spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
-        terms_of(F.col(text_col)).alias("terms"),
-    ).where(F.size("terms") > 0)
-    rows = materialize(rows.withColumn("n", F.size("terms").cast("long")), "lexical-rows")
-    totals = rows.agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
+        F.col(text_col).cast("string").alias("text"),
+    )
+    tf = materialize(rows.mapInArrow(term_counts, TF_SCHEMA), "lexical-tf")
+    totals = tf.where("first").agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = int(totals["N"] or 0), int(totals["L"] or 0)
     if big_n == 0:
-        empty = spark.createDataFrame([], "row long, doc_id long, term string, c long")
+        empty = spark.createDataFrame([], "row long, doc_id long, term string, c long, salt int")
         return empty, spark.createDataFrame([], "term string, df long, w long, impact long"), 0
-    tf = (
-        rows.select("row", "doc_id", "n", F.explode("terms").alias("term"))
-        .groupBy("row", "doc_id", "n", "term")
-        .agg(F.count("*").alias("tf"))
-    )
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     w = F.floor(
         F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2.0)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))
