@@ -75,6 +75,43 @@ def permutation_importance(
     )
 
 
+def permutation_importance_stacked(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    label: str,
+    score: Callable[[DataFrame], DataFrame],
+    seed: int = 42,
+) -> DataFrame:
+    """Drop in ROC-AUC of a fitted model when each column in turn is shuffled; all columns
+    in one plan, with the same shuffles as ``permutation_importance``.
+
+    One donor table serves every column: the columns are unpivoted to (key, feature,
+    value) and ranked within each feature by that feature's hash order. Targets are ranked
+    by one more order; one join on the rank gives every row, for every feature, the value
+    of its donor. The stack holds each row unchanged (feature "") and once per feature
+    with only that column replaced, so ``score`` - a fitted model's transform adding a
+    probability ``p`` - runs over it once, and one aggregation grouped by feature gives
+    all ROC-AUCs. Null cells are shuffled like values. (feature, shuffled_auc, base_auc,
+    importance) per column, in the order given.
+    """
+    targets = hash_rank(df, hash32(f"{seed}:to", key), key, name="_rn")
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_value")) for c in columns])
+    long = df.select(key, F.explode(cells).alias("_e")).select(key, "_e.*")
+    donors = hash_rank(long, hash32(f"{seed}:from", "feature", key), key, group=["feature"], name="_rn")
+    moved = targets.join(donors.select("feature", "_rn", "_value"), "_rn")
+    for c in columns:
+        moved = moved.withColumn(c, F.when(F.col("feature") == c, F.col("_value")).otherwise(F.col(c).cast("double")))
+    base = targets.select(*[F.col(c).cast("double").alias(c) if c in columns else F.col(c) for c in targets.columns])
+    stack = base.withColumn("feature", F.lit("")).unionByName(moved.drop("_value"))
+    auc = M.ranking_metrics(score(stack.drop("_rn")), label, "p", group=["feature"])
+    auc = auc.collect()
+    by = {r["feature"]: r["roc_auc"] for r in auc}
+    rows = [(c, by.get(c), by.get("")) for c in columns]
+    out = df.sparkSession.createDataFrame(rows, "feature string, shuffled_auc double, base_auc double")
+    return out.withColumn("importance", F.col("base_auc") - F.col("shuffled_auc"))
+
+
 def subgroup_metrics(
     df: DataFrame, bucket: Column, label: str, probability: str, threshold: float = 0.5
 ) -> DataFrame:

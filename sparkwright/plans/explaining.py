@@ -227,6 +227,14 @@ def permutation_importance(spark, d):
 def tabular(spark, d, label="toxic"):
     """Text counts as a feature vector, split flag, folds and class weights; written
     once because every fit reads it several times."""
+    feats, prep = tabular_parts(spark, d, label)
+    out = prep.transform(feats).select("doc_id", "label", "is_test", "fold", "weight", "features")
+    return materialize(out, "vectors")
+
+
+def tabular_parts(spark, d, label="toxic"):
+    """(raw rows with the 13 counts, split, folds and weights; the column transformer
+    fitted on the training rows)."""
     feats = P.random_split(text_features(labelled_docs(spark, d, label)), "doc_id")
     train = feats.where("is_test = 0")
     folds = P.stratified_kfold(train.select("doc_id", "label"), "label", "doc_id")
@@ -235,8 +243,7 @@ def tabular(spark, d, label="toxic"):
         feats.join(folds.drop("label"), "doc_id", "left").join(weights, "doc_id", "left"), "tabular"
     )
     prep = E.column_transformer(feats.where("is_test = 0"), list(T.TEXT_MEASURES))
-    out = prep.transform(feats).select("doc_id", "label", "is_test", "fold", "weight", "features")
-    return materialize(out, "vectors")
+    return feats, prep
 
 
 def _scored(spark, d, fit):

@@ -39,5 +39,6 @@ def load_all() -> None:
         shaping,
         splitting,
         text,
+        tuning,
         vocabulary,
     )
