@@ -14,8 +14,9 @@ holding a term, tf its count in one document.
 Method (presence masks, exact):
 
 1. One scan counts each text's terms inside its own task (Arrow's RE2 split and group-by
-   on bounded pieces of a batch), so only (row, term, tf) pairs are shuffled, never single
-   occurrences. From them come the postings (row, term, c) and per term its df, w and the
+   on bounded pieces of a batch), so only (row, term, tf) pairs leave it, never single
+   occurrences, and only for terms that some query holds (the others change no score; N
+   and L come from per-text totals). From them come the postings (row, term, c) and per term its df, w and the
    largest c of any document (its impact). Postings are written once; terms of weight 0
    add nothing and are left out.
 2. A query's terms are *rare* or *frequent* (df above ``1 / FREQUENT_SHARE`` of N). Rare
@@ -68,7 +69,9 @@ def terms_of(text: Column) -> Column:
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PIECE_BYTES = 8 << 20
-TF_SCHEMA = "row long, doc_id long, n long, term string, tf long, first boolean"
+#: The query vocabulary is sent to the tasks up to this many terms; beyond, a join filters.
+VOCABULARY_BROADCAST = 1 << 20
+TF_SCHEMA = "row long, doc_id long, n long, term string, tf long"
 
 
 def _pieces(batch: pa.RecordBatch):
@@ -84,45 +87,55 @@ def _pieces(batch: pa.RecordBatch):
         yield batch.slice(start)
 
 
-def term_counts(batches):
-    """(row, doc_id, text) batches -> one row per distinct term of a text: its tf, the
-    text's n, and ``first`` on exactly one row of each text. All in Arrow kernels."""
+def term_counts(batches, vocabulary=None):
+    """(row, doc_id, text) batches -> per text one row with term null and tf = n (its
+    number of terms, texts without terms left out), and one row per distinct term that is
+    in ``vocabulary`` (all terms if None) with its tf. All in Arrow kernels."""
     out = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
-                     ("term", pa.string()), ("tf", pa.int64()), ("first", pa.bool_())])
+                     ("term", pa.string()), ("tf", pa.int64())])
+    keep = None if vocabulary is None else pa.array(vocabulary, pa.string())
     for batch in batches:
         for piece in _pieces(batch):
             words = pc.split_pattern_regex(pc.ascii_lower(piece.column(2)), SEPARATORS)
             flat = pc.list_flatten(words)
             parent = pc.list_parent_indices(words)
-            keep = pc.not_equal(pc.binary_length(flat), 0)
-            flat, parent = pc.filter(flat, keep), pc.filter(parent, keep)
+            nonempty = pc.not_equal(pc.binary_length(flat), 0)
+            flat, parent = pc.filter(flat, nonempty), pc.filter(parent, nonempty)
+            n_of = np.bincount(parent.to_numpy(), minlength=piece.num_rows).astype(np.int64)
+            texts = np.flatnonzero(n_of > 0)
+            if len(texts):
+                yield pa.RecordBatch.from_arrays(
+                    [pc.take(piece.column(0), texts), pc.take(piece.column(1), texts), pa.array(n_of[texts]),
+                     pa.nulls(len(texts), pa.string()), pa.array(n_of[texts])],
+                    schema=out,
+                )
+            if keep is not None:
+                wanted = pc.is_in(flat, value_set=keep)
+                flat, parent = pc.filter(flat, wanted), pc.filter(parent, wanted)
             if len(flat) == 0:
                 continue
             counts = pa.table({"p": parent, "term": flat}).group_by(["p", "term"]).aggregate([("term", "count")])
             p = counts.column("p").combine_chunks()
-            n = pa.table({"p": parent}).group_by("p").aggregate([("p", "count")])
-            n_of = np.zeros(piece.num_rows, dtype=np.int64)
-            n_of[n.column("p").to_numpy()] = n.column("p_count").to_numpy()
-            pn = p.to_numpy()
-            first = np.zeros(len(pn), dtype=bool)
-            first[np.unique(pn, return_index=True)[1]] = True
             yield pa.RecordBatch.from_arrays(
                 [
                     pc.take(piece.column(0), p),
                     pc.take(piece.column(1), p),
-                    pa.array(n_of[pn]),
+                    pa.array(n_of[p.to_numpy()]),
                     counts.column("term").combine_chunks(),
                     counts.column("term_count").cast(pa.int64()).combine_chunks(),
-                    pa.array(first),
                 ],
                 schema=out,
             )
 
 
-def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: DataFrame | None = None):
     """Postings (row, doc_id, term, c, salt) and term statistics (term, df, w, impact),
     written. A term's postings are dealt over ``df // SALT_ROWS + 1`` salts by row.
-    Terms are counted inside each text's task; only (row, term) pairs are shuffled."""
+
+    Terms are counted inside each text's task; only (row, term) pairs are shuffled. With a
+    ``vocabulary`` (one column ``term``) only its terms are indexed - N and L still count
+    every term of every text; it is sent to the tasks when it has at most
+    VOCABULARY_BROADCAST terms, else the pairs are filtered by a join."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(
@@ -130,9 +143,19 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
     )
-    tf = materialize(rows.mapInArrow(term_counts, TF_SCHEMA), "lexical-tf")
-    totals = tf.where("first").agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
+    small = None
+    if vocabulary is not None and vocabulary.count() <= VOCABULARY_BROADCAST:
+        small = spark.sparkContext.broadcast([r[0] for r in vocabulary.select("term").collect()])
+    counted = rows.mapInArrow(
+        lambda b: term_counts(b, None if small is None else small.value), TF_SCHEMA
+    )
+    if vocabulary is not None and small is None:
+        known = vocabulary.select("term", F.lit(True).alias("_known"))
+        counted = counted.join(known, "term", "left").where(F.col("term").isNull() | F.col("_known")).drop("_known")
+    tf = materialize(counted, "lexical-tf")
+    totals = tf.where(F.col("term").isNull()).agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = int(totals["N"] or 0), int(totals["L"] or 0)
+    tf = tf.where(F.col("term").isNotNull())
     if big_n == 0:
         empty = spark.createDataFrame([], "row long, doc_id long, term string, c long, salt int")
         return empty, spark.createDataFrame([], "term string, df long, w long, impact long"), 0
@@ -192,18 +215,19 @@ def search(
 ) -> DataFrame:
     """Each item's k best documents: (item_id, rank, doc_id, score). A term is frequent
     when df * frequent_share > N; the answer does not depend on it, only the work."""
-    postings, stats, big_n = index(docs, doc_id, doc_text)
     spark = docs.sparkSession
+    asked = items.select(
+        F.col(item_id).cast("long").alias("item_id"), F.explode(terms_of(F.col(item_text))).alias("term")
+    ).where(F.col("item_id").isNotNull()).distinct()
+    asked = materialize(asked, "lexical-asked")
+    postings, stats, big_n = index(docs, doc_id, doc_text, asked.select("term").distinct())
     if big_n == 0:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     # Rows without an id count in the statistics but are never ranked.
     postings = postings.where(F.col("doc_id").isNotNull())
     frequent = F.col("df") * frequent_share > big_n
     query_terms = (
-        items.select(F.col(item_id).cast("long").alias("item_id"), F.explode(terms_of(F.col(item_text))).alias("term"))
-        .where(F.col("item_id").isNotNull())
-        .distinct()
-        .join(stats, "term")
+        asked.join(stats, "term")
         .withColumn("frequent", frequent)
         .withColumn("salts", (F.col("df") / SALT_ROWS).cast("int") + 1)
     )
