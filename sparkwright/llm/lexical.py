@@ -20,8 +20,11 @@ Method (presence masks, exact):
    largest c of any document (its impact). Postings are written once; terms of weight 0
    add nothing and are left out.
 2. A query's terms are *rare* or *frequent* (df above ``1 / FREQUENT_SHARE`` of N). Rare
-   postings are joined to the queries; every document they reach is a candidate, whose
-   frequent terms are then looked up by (row, term), so candidates get exact scores.
+   postings are joined to the queries; every document they reach is a candidate. The
+   k-th best rare score bounds the k-th final score from below, and a candidate's final
+   score is at most its rare score plus the impacts of the query's frequent terms; the
+   candidates that can still reach the bound get their frequent terms looked up by
+   (row, term), so they have exact scores, and the others are out.
 3. A document that holds only frequent terms of a query scores at most the sum of their
    impacts. Where that bound is below the query's 50th candidate score, the query is
    finished. Otherwise its frequent postings are read, each document's matched terms
@@ -233,20 +236,34 @@ def search(
     )
     query_terms = materialize(query_terms, "lexical-queries")
 
-    # Candidates: documents that hold a rare term of the query, with exact scores.
+    # Candidates: documents that hold a rare term of the query.
     rare = _salted_hits(query_terms.where(~F.col("frequent")).select("item_id", "term", "salts"), postings)
-    candidates = rare.groupBy("item_id", "row", "doc_id").agg(F.sum("c").alias("rare_score"))
+    candidates = materialize(
+        rare.groupBy("item_id", "row", "doc_id").agg(F.sum("c").alias("rare_score")), "lexical-rare"
+    )
+    bounds = query_terms.where(F.col("frequent")).groupBy("item_id").agg(F.sum("impact").alias("bound"))
+    # A candidate's final score is at most its rare score plus the bound of the query's
+    # frequent terms, and the k-th best rare score is at most the k-th final score: a
+    # candidate below it by that margin is out, and only the others are completed.
+    floor = _kth(candidates.withColumnRenamed("rare_score", "score"), k)
+    hopeful = (
+        candidates.join(bounds, "item_id", "left")
+        .join(floor.select("item_id", "kth"), "item_id", "left")
+        .where(F.col("rare_score") + F.coalesce("bound", F.lit(0)) >= F.coalesce("kth", F.lit(0)))
+        .select("item_id", "row", "doc_id", "rare_score")
+    )
+    hopeful = materialize(hopeful, "lexical-hopeful")
     frequent_terms = query_terms.where(F.col("frequent")).select("item_id", "term")
     frequent_postings = postings.join(stats.where(frequent).select("term"), "term", "left_semi")
     completed = (
-        candidates.select("item_id", "row")
+        hopeful.select("item_id", "row")
         .join(frequent_postings.select("row", "term", "c"), "row")
         .join(frequent_terms, ["item_id", "term"])
         .groupBy("item_id", "row")
         .agg(F.sum("c").alias("frequent_score"))
     )
     scored = materialize(
-        candidates.join(completed, ["item_id", "row"], "left").select(
+        hopeful.join(completed, ["item_id", "row"], "left").select(
             "item_id", "row", "doc_id",
             (F.col("rare_score") + F.coalesce("frequent_score", F.lit(0))).alias("score"),
         ),
@@ -254,7 +271,6 @@ def search(
     )
 
     # Queries whose frequent terms alone could reach their k-th candidate score.
-    bounds = query_terms.where(F.col("frequent")).groupBy("item_id").agg(F.sum("impact").alias("bound"))
     open_items = bounds.join(_kth(scored, k), "item_id", "left").where(
         F.col("bound") >= F.coalesce(F.col("kth"), F.lit(0))
     ).select("item_id")
@@ -262,7 +278,7 @@ def search(
     bits = Window.partitionBy("item_id").orderBy("term")
     open_terms = open_terms.withColumn("bit", F.row_number().over(bits) - 1)
     hits = _salted_hits(open_terms.select("item_id", "term", "salts", "bit", "impact"), frequent_postings)
-    hits = hits.join(scored.select("item_id", "row"), ["item_id", "row"], "left_anti")
+    hits = hits.join(candidates.select("item_id", "row"), ["item_id", "row"], "left_anti")
     by_bucket = hits.groupBy(
         "item_id", "row", "doc_id", F.floor(F.col("bit") / 63).alias("bucket")
     ).agg(
