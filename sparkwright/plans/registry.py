@@ -39,6 +39,7 @@ def load_all() -> None:
         shaping,
         splitting,
         text,
+        trees,
         tuning,
         vocabulary,
     )
