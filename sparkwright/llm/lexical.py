@@ -26,15 +26,19 @@ Method (presence masks, exact):
    candidates that can still reach the bound get their frequent terms looked up by
    (row, term), so they have exact scores, and the others are out.
 3. A document that holds only frequent terms of a query scores at most the sum of their
-   impacts. Where that bound is below the query's 50th candidate score, the query is
-   finished. Otherwise its frequent postings are read, each document's matched terms
-   become a bitmap (63 terms a long, ``bit_or``), documents are grouped by mask, and masks are
-   taken in descending bound; a mask whose bound is below the k-th best score known is
-   never ranked.
-
-Skew: joins on a term are salted by row for terms with more than ``SALT_ROWS`` postings,
-the query side repeated once per salt, so a term held by a third of all documents is many
-tasks. Ranking uses Spark's per-group limit below the shuffle, so at most k rows per query
+   impacts. Where that bound is below theta, the query's k-th candidate score, the query
+   is finished. Otherwise such a document reaches theta only if one of the query's n
+   frequent terms gives it at least theta / n: the postings are filtered by that as they
+   stream past the broadcast query terms, the few documents that pass are completed,
+   their matched terms become a bitmap (63 terms a long, ``bit_or``), documents are
+   grouped by mask, and a mask whose bound is below theta is never ranked.
+   Candidates are completed grouped by document, so each document's postings are read
+   once for all its queries and one summed row per (query, document) is shuffled.
+
+Skew: the query terms are broadcast to the postings when a count shows at most
+``QUERY_BROADCAST`` of them; beyond, joins on a term are salted by row for terms with more
+than ``SALT_ROWS`` postings, the query side repeated once per salt, so a term held by a
+third of all documents is many tasks. Ranking uses Spark's per-group limit below the shuffle, so at most k rows per query
 and task move. Nothing is collected but N and L.
 
 Edge cases: a null or empty text has no terms and is in neither N nor L; a null query text
@@ -63,6 +67,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 FREQUENT_SHARE = 64
 SALT_ROWS = 4096
+#: Query terms are broadcast to the postings when they are at most this many rows.
+QUERY_BROADCAST = 2_000_000
 
 
 def terms_of(text: Column) -> Column:
@@ -206,6 +212,29 @@ def _kth(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _complete(pairs: DataFrame, postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
+    """(item_id, row, doc_id, score, mask, bound) for every (item_id, row, doc_id): the sum, the
+    matched-term mask and the mask's bound over the query's ``terms`` (item_id, term, bit,
+    impact) that the row holds. Pairs are grouped by row first, so each document's postings
+    are read once for all its queries, and only one aggregated row per pair is shuffled."""
+    by_row = pairs.groupBy("row", "doc_id").agg(F.collect_set("item_id").alias("items"))
+    hits = by_row.join(postings.select("row", "term", "c"), "row").select(
+        "row", "doc_id", "term", "c", F.explode("items").alias("item_id")
+    )
+    hits = hits.join(F.broadcast(terms) if small else terms, ["item_id", "term"])
+    bucket = F.floor(F.col("bit") / 63).alias("bucket")
+    per_bucket = hits.groupBy("item_id", "row", "doc_id", bucket).agg(
+        F.sum("c").alias("score"),
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 AS INT))")).alias("bitmap"),
+        F.sum("impact").alias("bound"),
+    )
+    return per_bucket.groupBy("item_id", "row", "doc_id").agg(
+        F.sum("score").alias("score"),
+        F.array_sort(F.collect_list(F.struct("bucket", "bitmap"))).alias("mask"),
+        F.sum("bound").alias("bound"),
+    )
+
+
 def search(
     docs: DataFrame,
     items: DataFrame,
@@ -229,19 +258,29 @@ def search(
     # Rows without an id count in the statistics but are never ranked.
     postings = postings.where(F.col("doc_id").isNotNull())
     frequent = F.col("df") * frequent_share > big_n
+    bits = Window.partitionBy("item_id").orderBy("term")
     query_terms = (
         asked.join(stats, "term")
         .withColumn("frequent", frequent)
         .withColumn("salts", (F.col("df") / SALT_ROWS).cast("int") + 1)
+        .withColumn("bit", F.row_number().over(bits) - 1)
     )
     query_terms = materialize(query_terms, "lexical-queries")
+    # The query terms are sent whole to the tasks only below a counted bound.
+    small = query_terms.count() <= QUERY_BROADCAST
+
+    def hits_of(terms: DataFrame) -> DataFrame:
+        if small:
+            return postings.join(F.broadcast(terms.drop("salts")), "term")
+        return _salted_hits(terms, postings.select("row", "doc_id", "term", "c", "salt"))
 
     # Candidates: documents that hold a rare term of the query.
-    rare = _salted_hits(query_terms.where(~F.col("frequent")).select("item_id", "term", "salts"), postings)
+    rare = hits_of(query_terms.where(~F.col("frequent")).select("item_id", "term", "salts"))
     candidates = materialize(
         rare.groupBy("item_id", "row", "doc_id").agg(F.sum("c").alias("rare_score")), "lexical-rare"
     )
-    bounds = query_terms.where(F.col("frequent")).groupBy("item_id").agg(F.sum("impact").alias("bound"))
+    frequent_terms = query_terms.where(F.col("frequent")).select("item_id", "term", "bit", "impact")
+    bounds = frequent_terms.groupBy("item_id").agg(F.sum("impact").alias("bound"), F.count("*").alias("n_frequent"))
     # A candidate's final score is at most its rare score plus the bound of the query's
     # frequent terms, and the k-th best rare score is at most the k-th final score: a
     # candidate below it by that margin is out, and only the others are completed.
@@ -253,50 +292,38 @@ def search(
         .select("item_id", "row", "doc_id", "rare_score")
     )
     hopeful = materialize(hopeful, "lexical-hopeful")
-    frequent_terms = query_terms.where(F.col("frequent")).select("item_id", "term")
     frequent_postings = postings.join(stats.where(frequent).select("term"), "term", "left_semi")
-    completed = (
-        hopeful.select("item_id", "row")
-        .join(frequent_postings.select("row", "term", "c"), "row")
-        .join(frequent_terms, ["item_id", "term"])
-        .groupBy("item_id", "row")
-        .agg(F.sum("c").alias("frequent_score"))
-    )
+    completed = _complete(hopeful.select("item_id", "row", "doc_id"), frequent_postings, frequent_terms, small)
     scored = materialize(
-        hopeful.join(completed, ["item_id", "row"], "left").select(
+        hopeful.join(completed.select("item_id", "row", F.col("score").alias("frequent_score")), ["item_id", "row"], "left").select(
             "item_id", "row", "doc_id",
             (F.col("rare_score") + F.coalesce("frequent_score", F.lit(0))).alias("score"),
         ),
         "lexical-candidates",
     )
 
-    # Queries whose frequent terms alone could reach their k-th candidate score.
-    open_items = bounds.join(_kth(scored, k), "item_id", "left").where(
-        F.col("bound") >= F.coalesce(F.col("kth"), F.lit(0))
-    ).select("item_id")
-    open_terms = query_terms.where(F.col("frequent")).join(open_items, "item_id")
-    bits = Window.partitionBy("item_id").orderBy("term")
-    open_terms = open_terms.withColumn("bit", F.row_number().over(bits) - 1)
-    hits = _salted_hits(open_terms.select("item_id", "term", "salts", "bit", "impact"), frequent_postings)
-    hits = hits.join(candidates.select("item_id", "row"), ["item_id", "row"], "left_anti")
-    by_bucket = hits.groupBy(
-        "item_id", "row", "doc_id", F.floor(F.col("bit") / 63).alias("bucket")
-    ).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 AS INT))")).alias("bitmap"),
-        F.sum("c").alias("score"),
-        F.sum("impact").alias("bound"),
-    )
-    others = by_bucket.groupBy("item_id", "row", "doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "bitmap"))).alias("mask"),
-        F.sum("score").alias("score"),
-        F.sum("bound").alias("bound"),
+    # Documents with frequent terms only. With theta the k-th candidate score, such a
+    # document reaches theta only if one of its n frequent query terms gives at least
+    # theta / n; the documents that pass are grouped by their mask of matched terms, and
+    # a mask is ranked only if its bound (the sum of its terms' impacts) reaches theta.
+    theta = _kth(scored, k).select("item_id", "kth")
+    limits = bounds.join(theta, "item_id", "left").select(
+        "item_id", "n_frequent", F.coalesce("kth", F.lit(0)).alias("kth"), "bound"
+    ).where(F.col("bound") >= F.col("kth"))
+    limits = materialize(limits, "lexical-limits")
+    strong = hits_of(
+        query_terms.where(F.col("frequent")).join(limits, "item_id").select("item_id", "term", "salts", "n_frequent", "kth")
+    ).where(F.col("c") * F.col("n_frequent") >= F.col("kth"))
+    reach = strong.select("item_id", "row", "doc_id").distinct().join(
+        candidates.select("item_id", "row"), ["item_id", "row"], "left_anti"
     )
+    reach = materialize(reach, "lexical-reach")
+    others = _complete(reach, frequent_postings, frequent_terms, small)
     others = materialize(others, "lexical-masks")
     masks = others.groupBy("item_id", "mask").agg(F.max("bound").alias("bound"))
-    # The k-th best score over candidates and all mask members is a safe floor: a mask
-    # whose bound lies below it cannot hold a member of the answer.
-    floor = _kth(scored.unionByName(others.select("item_id", "row", "doc_id", "score")), k)
-    taken = masks.join(floor, "item_id").where(F.col("bound") >= F.col("kth")).select("item_id", "mask")
-    reached = others.join(taken, ["item_id", "mask"], "left_semi").select("item_id", "row", "doc_id", "score")
+    taken = masks.join(limits.select("item_id", "kth"), "item_id").where(F.col("bound") >= F.col("kth"))
+    reached = others.join(taken.select("item_id", "mask"), ["item_id", "mask"], "left_semi").select(
+        "item_id", "row", "doc_id", "score"
+    )
     ranked = _best(scored.unionByName(reached).where(F.col("score") > 0), k)
     return ranked.select("item_id", "rank", "doc_id", "score")

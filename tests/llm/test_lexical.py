@@ -77,6 +77,7 @@ def test_empty_tables_and_clashing_columns(spark):
 
 def test_vocabulary_filtered_by_join_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(lexical, "VOCABULARY_BROADCAST", 0)
+    monkeypatch.setattr(lexical, "QUERY_BROADCAST", 0)
     docs, items = corpus(11)
     found = lexical.search(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), k=5)
     assert sorted(tuple(r) for r in found.collect()) == brute(docs, items, 5)
