@@ -198,10 +198,12 @@ def _ascii_references(c: Column) -> Column:
 
 def _drop_markup(c: Column) -> Column:
     """Remove MARKUP. Behind the last ``>`` no tag can end, so no search begins there:
-    its ``<`` are set aside meanwhile."""
+    its ``<`` are set aside meanwhile. No ``-->`` can follow there either, so a comment
+    opened there reaches to the end: the tail is cut at its first ``<!--``."""
     tail = F.substring_index(c, ">", -1)
     head = F.substring(c, F.lit(1), F.length(c) - F.length(tail))
-    held = F.concat(head, F.replace(tail, F.lit("<"), F.lit("\u0002")))
+    open_comment = F.substring_index(tail, "<!--", 1)
+    held = F.concat(head, F.replace(open_comment, F.lit("<"), F.lit("\u0002")))
     return F.replace(_drop(held, MARKUP), F.lit("\u0002"), F.lit("<"))
 
 

@@ -158,9 +158,13 @@ def oov_ids(tokens: DataFrame, vocab: DataFrame, word: str = "word") -> DataFram
     )
 
 
-def to_sparse_vector(weights: DataFrame, key: str, vocab: DataFrame, size: int) -> DataFrame:
+def to_sparse_vector(
+    weights: DataFrame, key: str, vocab: DataFrame, size: int, keys: DataFrame | None = None
+) -> DataFrame:
     """Long form -> one sparse vector per document. ``vocab`` holds (term, idx); the
-    entries of a row are bounded by the vocabulary. Documents without terms are absent."""
+    entries of a row are bounded by the vocabulary. Documents without terms are absent,
+    unless ``keys`` (one column ``key``) is given: each of its keys then has a vector, an
+    empty one where no term of the vocabulary occurs."""
     from pyspark.ml.linalg import Vectors, VectorUDT
 
     ship_package(weights.sparkSession)
@@ -170,12 +174,15 @@ def to_sparse_vector(weights: DataFrame, key: str, vocab: DataFrame, size: int)
         return Vectors.sparse(size, [e["idx"] for e in entries], [e["w"] for e in entries])
 
     entry = F.struct("idx", "w")
-    return (
+    entries = (
         weights.join(F.broadcast(vocab), "term")
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select(key, build("entries").alias("features"))
     )
+    if keys is not None:
+        none = F.array().cast(entries.schema["entries"].dataType)
+        entries = keys.select(key).join(entries, key, "left").select(key, F.coalesce("entries", none).alias("entries"))
+    return entries.select(key, build("entries").alias("features"))
 
 
 def index_terms(fit: DataFrame) -> DataFrame:

@@ -423,8 +423,10 @@ def logistic_text(spark, d):
     train_counts = counts.join(split.where("is_test = 0").select("doc_id"), "doc_id")
     vocab = V.df_prune(train_counts, F.lit(1), 2, float("inf"))
     vocab = materialize(V.index_terms(vocab).select("term", "idx"), "vocab")
+    # Every document has a vector: one without a vocabulary term gets an empty one.
     vectors = V.to_sparse_vector(
-        counts.withColumn("w", F.col("tf").cast("double")), "doc_id", vocab, V.MAX_FEATURES
+        counts.withColumn("w", F.col("tf").cast("double")), "doc_id", vocab, V.MAX_FEATURES,
+        keys=split.select("doc_id"),
     )
     rows = materialize(split.join(vectors, "doc_id"), "vectors")
     train = E.class_weight(rows.where("is_test = 0"), "label")

@@ -143,3 +143,24 @@ def test_accents_of_all_scripts(spark):
     assert _counts(spark, ["Čapek ő ş Việt é ø ß", None], T.strip_accents("t")) == [
         "Capek o s Viet e ø ß", None
     ]
+
+
+def test_open_comment_after_last_tag_reaches_the_end(spark):
+    from pyspark.sql import functions as F
+
+    from sparkwright.functions import text as T
+
+    rows = spark.createDataFrame([("x <!-- y secret words",), ("a <b>c</b> <!-- open hidden",), ("p <i>q</i> r < s",)], "t string")
+    got = [r[0] for r in rows.select(T.strip_markup("t")).collect()]
+    assert "secret" not in got[0] and "hidden" not in got[1]
+    assert got[0].startswith("x") and "c" in got[1] and got[2].endswith("r < s")
+
+
+def test_every_document_gets_a_vector(spark):
+    from sparkwright.operators import vocabulary as V
+
+    weights = spark.createDataFrame([(1, "a", 2.0), (2, "zz", 1.0)], "doc_id long, term string, w double")
+    vocab = spark.createDataFrame([("a", 0)], "term string, idx int")
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
+    got = {r.doc_id: r.features for r in V.to_sparse_vector(weights, "doc_id", vocab, 4, keys=keys).collect()}
+    assert set(got) == {1, 2, 3} and got[2].numNonzeros() == 0 and got[1][0] == 2.0
