@@ -29,13 +29,13 @@ def scan_csv(
     schema: T.StructType | None = None,
     header: bool = True,
     null_token: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited scan. A given schema avoids the extra pass that inference costs;
     ``null_token`` names the text that stands for a missing value. Without one, nothing
-    between two delimiters is missing and a pair of quotes is an empty text. Quoted values
-    may hold line ends; a file is then one split, so pass ``multi_line=False`` for large
-    single files without such values."""
+    between two delimiters is missing and a pair of quotes is an empty text. Files are
+    split at line ends, so a large file is many tasks; where quoted values hold line ends,
+    pass ``multi_line=True`` (each file is then read whole by one task)."""
     reader = (
         spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
     )
