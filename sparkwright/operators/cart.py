@@ -43,63 +43,90 @@ MAX_DEPTH = 62
 def _cells(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).alias("value")) for i, c in enumerate(columns)])
     return (
-        rows.select("node", "label", F.explode(entries).alias("e"))
-        .select("node", "e.column", "e.value", "label")
-        .groupBy("node", "column", "value")
-        .agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
+        rows.select("tree", "node", "label", "w", F.explode(entries).alias("e"))
+        .select("tree", "node", "e.column", "e.value", "label", "w")
+        .groupBy("tree", "node", "column", "value")
+        .agg(
+            F.sum(F.when(F.col("label") == 0, F.col("w")).otherwise(0)).alias("n0"),
+            F.sum(F.when(F.col("label") == 1, F.col("w")).otherwise(0)).alias("n1"),
+        )
     )
 
 
 def fit(df: DataFrame, label: str, columns: Sequence[str], max_depth: int = 30, min_leaf: int = 1) -> list[dict]:
     """Grow the tree; returns its nodes: id, depth, n0, n1, impurity (Gini), and for
     inner nodes column (index), feature (name) and threshold (x <= threshold goes left)."""
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.lit(0).alias("tree"), F.lit(1).cast("long").alias("w"), F.col(label), *[F.col(c) for c in columns]
+    )
+    return [{k: v for k, v in n.items() if k != "tree"} for n in grow(rows, label, columns, max_depth, min_leaf)]
+
+
+def grow(
+    df: DataFrame,
+    label: str,
+    columns: Sequence[str],
+    max_depth: int = 30,
+    min_leaf: int = 1,
+    draw=None,
+) -> list[dict]:
+    """Grow all trees of ``df`` (columns ``tree``, ``w`` (a row's weight, > 0), label and
+    features) level by level, together. ``draw(pairs)``, if given, takes the open
+    (tree, node) pairs and returns the (tree, node, column) that each may split on."""
     if max_depth > MAX_DEPTH:
         raise ValueError(f"max_depth is at most {MAX_DEPTH}")
     inf = F.lit(float("inf"))
-    rows = df.where(F.col(label).isNotNull()).select(
+    rows = df.select(
+        F.col("tree").cast("int").alias("tree"),
         F.lit(1).cast("long").alias("node"),
         F.col(label).cast("int").alias("label"),
+        F.col("w").cast("long").alias("w"),
         *[F.coalesce(F.col(c).cast("double"), inf).alias(c) for c in columns],
     )
     rows = materialize(rows, "cart-rows")
     nodes: list[dict] = []
     for depth in range(max_depth + 1):
-        counts = rows.groupBy("node").agg(
-            F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")
+        counts = rows.groupBy("tree", "node").agg(
+            F.sum(F.when(F.col("label") == 0, F.col("w")).otherwise(0)).alias("n0"),
+            F.sum(F.when(F.col("label") == 1, F.col("w")).otherwise(0)).alias("n1"),
         ).collect()
         if not counts:
             break
-        level = {r["node"]: {"id": r["node"], "depth": depth, "n0": r["n0"], "n1": r["n1"]} for r in counts}
+        level = {(r["tree"], r["node"]): {"tree": r["tree"], "id": r["node"], "depth": depth, "n0": r["n0"], "n1": r["n1"]} for r in counts}
         for node in level.values():
             n = node["n0"] + node["n1"]
             node["impurity"] = 1.0 - (node["n0"] / n) ** 2 - (node["n1"] / n) ** 2
         nodes.extend(level.values())
-        open_nodes = [i for i, v in level.items() if v["n0"] and v["n1"]]
+        open_nodes = [key for key, v in level.items() if v["n0"] and v["n1"]]
         if depth == max_depth or not open_nodes:
             break
         spark = rows.sparkSession
-        wanted = spark.createDataFrame([(i,) for i in open_nodes], "node long")
-        cells = materialize(_cells(rows.join(wanted, "node", "left_semi"), columns), "cart-cells")
-        sums = prefix_sums(cells, "value", {"n0": "c0", "n1": "c1"}, group=["node", "column"])
+        wanted = materialize(spark.createDataFrame(open_nodes, "tree int, node long"), "cart-open")
+        cells = _cells(rows.join(wanted, ["tree", "node"], "left_semi"), columns)
+        if draw is not None:
+            cells = cells.join(draw(wanted), ["tree", "node", "column"], "left_semi")
+        cells = materialize(cells, "cart-cells")
+        group = ["tree", "node", "column"]
+        sums = prefix_sums(cells, "value", {"n0": "c0", "n1": "c1"}, group=group)
         l0 = F.col("c0_before") + F.col("n0")
         l1 = F.col("c1_before") + F.col("n1")
         r0, r1 = F.col("c0_total") - l0, F.col("c1_total") - l1
         left, right = l0 + l1, r0 + r1
         score = F.round((l0 * l0 + l1 * l1) / left + (r0 * r0 + r1 * r1) / right, 9)
         candidates = sums.where((left >= min_leaf) & (right >= min_leaf) & (right > 0)).select(
-            "node", F.struct(score.alias("score"), (-F.col("column")).alias("neg_column"), (-F.col("value")).alias("neg_value")).alias("s")
+            "tree", "node", F.struct(score.alias("score"), (-F.col("column")).alias("neg_column"), (-F.col("value")).alias("neg_value")).alias("s")
         )
-        best = candidates.groupBy("node").agg(F.max("s").alias("s")).select(
-            "node", (-F.col("s.neg_column")).alias("column"), (-F.col("s.neg_value")).alias("value")
+        best = candidates.groupBy("tree", "node").agg(F.max("s").alias("s")).select(
+            "tree", "node", (-F.col("s.neg_column")).alias("column"), (-F.col("s.neg_value")).alias("value")
         )
         after = (
-            best.join(cells.select("node", "column", F.col("value").alias("next")), ["node", "column"])
+            best.join(cells.select(*group, F.col("value").alias("next")), group)
             .where(F.col("next") > F.col("value"))
-            .groupBy("node", "column", "value")
+            .groupBy(*group, "value")
             .agg(F.min("next").alias("next"))
         )
         splits = after.select(
-            "node", "column",
+            "tree", "node", "column",
             F.when(F.col("next") == float("inf"), F.col("value"))
             .otherwise((F.col("value") + F.col("next")) / 2).alias("threshold"),
         )
@@ -108,13 +135,13 @@ def fit(df: DataFrame, label: str, columns: Sequence[str], max_depth: int = 30,
         if not chosen:
             break
         for r in chosen:
-            level[r["node"]].update(column=r["column"], feature=columns[r["column"]], threshold=r["threshold"])
+            level[(r["tree"], r["node"])].update(column=r["column"], feature=columns[r["column"]], threshold=r["threshold"])
         x = F.element_at(F.array(*[F.col(c) for c in columns]), F.col("column") + 1)
-        moved = rows.join(splits, "node").select(
-            (F.col("node") * 2 + (x > F.col("threshold")).cast("long")).alias("node"), "label", *columns
+        moved = rows.join(splits, ["tree", "node"]).select(
+            "tree", (F.col("node") * 2 + (x > F.col("threshold")).cast("long")).alias("node"), "label", "w", *columns
         )
         rows = materialize(moved, "cart-rows")
-    return sorted(nodes, key=lambda v: v["id"])
+    return sorted(nodes, key=lambda v: (v["tree"], v["id"]))
 
 
 def predict(df: DataFrame, nodes: list[dict], columns: Sequence[str], name: str = "p") -> DataFrame:

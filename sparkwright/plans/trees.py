@@ -53,3 +53,17 @@ def cart_exact_prune_path(spark, d):
 def cart_exact_importance(spark, d):
     nodes, _ = exact_tree(spark, d)
     return _rows(spark, [{"feature": c, "importance": round(v, 9)} for c, v in cart.importance(nodes, COLUMNS).items()])
+
+
+@query("forest_hashed_predict")
+def forest_hashed_predict(spark, d):
+    """300 exact trees, bootstrap weights and feature draws by hashes, on the training
+    rows; the test rows' mean leaf share."""
+    from sparkwright.operators import forest
+
+    feats, _ = tabular_parts(spark, d)
+    feats = materialize(feats.select("doc_id", "label", "is_test", *COLUMNS), "forest-input")
+    nodes = forest.fit(feats.where("is_test = 0"), "label", COLUMNS, "doc_id", trees=300)
+    test = feats.where("is_test = 1")
+    out = forest.predict(test, nodes, COLUMNS, "doc_id").join(test.select("doc_id", "label"), "doc_id")
+    return out.select("doc_id", "label", F.round("p", 6).alias("p"), (F.col("p") > 0.5).cast("int").alias("prediction"))
