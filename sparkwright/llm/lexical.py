@@ -30,8 +30,9 @@ Method (presence masks, exact):
    is finished. Otherwise such a document reaches theta only if one of the query's n
    frequent terms gives it at least theta / n: the postings are filtered by that as they
    stream past the broadcast query terms, the few documents that pass are completed,
-   their matched terms become a bitmap (63 terms a long, ``bit_or``), documents are
-   grouped by mask, and a mask whose bound is below theta is never ranked.
+   their matched terms become a bitmap (63 terms a long, ``bit_or``; a mask is named by
+   the sum of its buckets' 64-bit hashes), documents are grouped by mask, and a mask
+   whose bound is below theta is never ranked.
    Candidates are completed grouped by document, so each document's postings are read
    once for all its queries and one summed row per (query, document) is shuffled.
 
@@ -228,9 +229,11 @@ def _complete(pairs: DataFrame, postings: DataFrame, terms: DataFrame, small: bo
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 AS INT))")).alias("bitmap"),
         F.sum("impact").alias("bound"),
     )
+    # The mask's name is the sum of its buckets' hashes: a plain hash aggregate. Two masks
+    # of one name would share the larger bound, which is still a bound for both.
     return per_bucket.groupBy("item_id", "row", "doc_id").agg(
         F.sum("score").alias("score"),
-        F.array_sort(F.collect_list(F.struct("bucket", "bitmap"))).alias("mask"),
+        F.sum(F.xxhash64("bucket", "bitmap")).alias("mask"),
         F.sum("bound").alias("bound"),
     )
 
@@ -317,7 +320,6 @@ def search(
     reach = strong.select("item_id", "row", "doc_id").distinct().join(
         candidates.select("item_id", "row"), ["item_id", "row"], "left_anti"
     )
-    reach = materialize(reach, "lexical-reach")
     others = _complete(reach, frequent_postings, frequent_terms, small)
     others = materialize(others, "lexical-masks")
     masks = others.groupBy("item_id", "mask").agg(F.max("bound").alias("bound"))
