@@ -7,9 +7,9 @@ byte, its start id; for every id, the bytes it stands for. The tables have the s
 vocabulary file (a fixed bound) and are broadcast. Executors then encode Arrow batches of
 texts: a text is split at the added (special) tokens, the rest pre-split by the pattern,
 and each pre-split word runs through the tables - the pair of lowest rank, leftmost first,
-is replaced by its target until no pair has a transition. A heap over the pairs and links
-between neighbours keep this at n log n for a word of n bytes, so a word of a megabyte is
-no worse than many short ones. Decoding emits the bytes of each id's label and reads them
+is replaced by its target until no pair has a transition. Words of up to SHORT bytes
+rescan their pairs; longer ones keep a heap over the pairs and links between neighbours,
+n log n for a word of n bytes, so a word of a megabyte is no worse than many short ones. Decoding emits the bytes of each id's label and reads them
 as UTF-8 (invalid sequences as U+FFFD, as the library does).
 
 This is the merge table used as a transition table; a single automaton composed of one
@@ -27,6 +27,7 @@ import heapq
 import json
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from sparkwright.session import ship_package
 SHIFT = 20
 LOW = (1 << SHIFT) - 1
 CACHE_WORDS = 200_000
+SHORT = 16
 
 
 def _byte_chars() -> list[str]:
@@ -93,13 +95,26 @@ class Encoder:
         self.specials = regex.compile("|".join(regex.escape(s) for s in specials)) if specials else None
         self.cache: dict[bytes, list[int]] = {}
 
-    def word(self, data: bytes) -> list[int]:
-        known = self.cache.get(data)
+    def word(self, text: str) -> list[int]:
+        known = self.cache.get(text)
         if known is not None:
             return known
-        ids = [self.start[b] for b in data]
+        ids = [self.start[b] for b in text.encode("utf-8")]
         n = len(ids)
-        if n > 1:
+        if 1 < n <= SHORT:
+            # Short words: rescan the pairs; (rank << 20 | target) orders by rank, and the
+            # strict comparison keeps the leftmost of equal pairs.
+            steps = self.steps
+            while len(ids) > 1:
+                best, at = None, -1
+                for i in range(len(ids) - 1):
+                    t = steps.get(ids[i] << SHIFT | ids[i + 1])
+                    if t is not None and (best is None or t < best):
+                        best, at = t, i
+                if best is None:
+                    break
+                ids[at : at + 2] = [best & LOW]
+        elif n > SHORT:
             steps = self.steps
             nxt = list(range(1, n + 1))
             nxt[-1] = -1
@@ -134,15 +149,18 @@ class Encoder:
             ids = [x for x, keep in zip(ids, alive) if keep]
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
-        self.cache[data] = ids
+        self.cache[text] = ids
         return ids
 
     def _plain(self, text: str, out: list[int]) -> None:
-        for m in self.split.finditer(text):
-            out.extend(self.word(m.group().encode("utf-8")))
-
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
+        cache, word = self.cache, self.word
+        for piece in self.split.findall(text):
+            known = cache.get(piece)
+            out.extend(known if known is not None else word(piece))
+
+    def encode(self, text: str | None, out: list[int] | None = None) -> list[int]:
+        """The ids of ``text``, appended to ``out`` if given."""
+        out = [] if out is None else out
         if not text:
             return out
         at = 0
@@ -157,8 +175,7 @@ class Encoder:
     def decode(self, ids) -> str | None:
         if ids is None:
             return None
-        labels = self.labels
-        return b"".join(labels[i] for i in ids).decode("utf-8", "replace")
+        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def _pattern() -> str:
@@ -189,26 +206,69 @@ def _broadcast(spark, path: str | None):
     return spark.sparkContext.broadcast(compile_tables(path or _default_path()))
 
 
+PIECE_BYTES = 4 << 20
+
+
+def _slices(batch: pa.RecordBatch, column: int, size_of):
+    """Slices of a batch holding at most PIECE_BYTES by ``size_of``, a larger row alone;
+    the Python objects of one slice are all that live at once."""
+    sizes = size_of(batch.column(column))
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if total and total + size > PIECE_BYTES:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += int(size)
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _text_bytes(texts: pa.Array):
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+
+
+def _id_bytes(ids: pa.Array):
+    return pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False) * 4
+
+
+def _encoded(enc: Encoder, texts: list) -> pa.Array:
+    """One list<int32> array from flat buffers: offsets and values, no list per text."""
+    flat: list[int] = []
+    offsets = [0]
+    for t in texts:
+        enc.encode(t, flat)
+        offsets.append(len(flat))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+
+
 def encode(
     docs: DataFrame, path: str | None = None, pattern: str | None = None,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", with_decoded: bool = False,
 ) -> DataFrame:
-    """(doc_id, ids array<int>) for every row of ``docs``."""
+    """(doc_id, ids array<int>) for every row of ``docs``; with ``with_decoded`` also the
+    decoded text, in the same pass. Batches are worked in slices of bounded text."""
     spark = docs.sparkSession
     tables, pattern = _broadcast(spark, path), pattern or _pattern()
-    out = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    fields = [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))] + ([("decoded", pa.string())] if with_decoded else [])
+    out = pa.schema(fields)
 
     def run(batches):
         enc = _encoder(tables, pattern)
         for batch in batches:
-            ids = batch.column(0)
-            texts = batch.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([enc.encode(t) for t in texts], pa.list_(pa.int32()))], schema=out
-            )
+            for part in _slices(batch, 1, _text_bytes):
+                ids = _encoded(enc, part.column(1).to_pylist())
+                columns = [part.column(0), ids]
+                if with_decoded:
+                    offsets = ids.offsets.to_numpy()
+                    values = ids.values.to_numpy(zero_copy_only=False).tolist()
+                    columns.append(pa.array(
+                        [enc.decode(values[offsets[i]:offsets[i + 1]]) for i in range(len(ids))], pa.string()
+                    ))
+                yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    ddl = "doc_id long, ids array<int>" + (", decoded string" if with_decoded else "")
+    return rows.mapInArrow(run, ddl)
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:
@@ -221,7 +281,8 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids") ->
     def run(batches):
         enc = _encoder(tables, "")
         for batch in batches:
-            texts = [enc.decode(ids) for ids in batch.column(at).to_pylist()]
-            yield batch.append_column("decoded", pa.array(texts, pa.string()))
+            for part in _slices(batch, at, _id_bytes):
+                texts = [enc.decode(ids) for ids in part.column(at).to_pylist()]
+                yield part.append_column("decoded", pa.array(texts, pa.string()))
 
     return encoded.mapInArrow(run, schema)

@@ -143,7 +143,7 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
 @query("op12_bpe_encoding")
 def op12(spark: SparkSession, d: str) -> DataFrame:
     """Every text encoded with the byte-level 50k vocabulary and decoded again."""
-    coded = bpe.decode(bpe.encode(load_texts(spark, d, "documents", "doc_id")))
+    coded = bpe.encode(load_texts(spark, d, "documents", "doc_id"), with_decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

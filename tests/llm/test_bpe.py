@@ -62,3 +62,14 @@ def test_query_digests(spark, sf, library):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         back = library.decode(ids, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
+def test_one_pass_round_trip_and_slices(spark, library, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE_BYTES", 64)
+    rows = [(i, t) for i, t in enumerate(HOSTILE)]
+    got = {(r.doc_id, tuple(r.ids), r.decoded) for r in bpe.encode(documents(spark, rows), with_decoded=True).collect()}
+    want = set()
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.add((i, tuple(ids), library.decode(ids, skip_special_tokens=False)))
+    assert got == want
