@@ -55,3 +55,37 @@ def score_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def batch_writer(out: str):
+    """A ``foreachBatch`` sink that writes batch b to ``out/batch=b``, overwriting: a batch
+    that is run again after a failure replaces its own files and nothing else, so every
+    committed batch is in the output exactly once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return write
+
+
+def score_stream_once(
+    stream: DataFrame, model: PipelineModel, keep: list[str], key: str, event_time: str,
+    out: str, checkpoint: str, text: str = "text", watermark: str = "1 hour",
+):
+    """Score each message once: repeats of a key within ``watermark`` of event time are
+    dropped by streaming state (``dropDuplicatesWithinWatermark``), and batches go through
+    an idempotent ``foreachBatch`` sink, so a killed and restarted query - same checkpoint -
+    neither loses nor repeats a message. Messages later than the watermark are dropped as
+    late. Runs what is there and stops (``availableNow``)."""
+    once = stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
+    scored = model.transform(once.withColumn("_words", _words(text))).select(
+        *keep,
+        vector_to_array("probability")[1].alias("p1"),
+        F.col("prediction").cast("int").alias("prediction"),
+    )
+    return (
+        scored.writeStream.foreachBatch(batch_writer(out))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -59,3 +59,35 @@ def test_stream_continues_after_its_checkpoint(spark, sf, tmp_path):
         score_stream(stream, model, ["doc_id"], out, state).awaitTermination()
     scored = spark.read.parquet(out)
     assert scored.count() == docs.count() == scored.select("doc_id").distinct().count()
+
+
+def test_stream_scores_each_message_once_across_restarts(spark, sf, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sparkwright.plans.shaping import labelled_docs
+    from sparkwright.streaming.scoring import batch_writer, score_stream_once, text_pipeline
+
+    docs = labelled_docs(spark, sf).select("doc_id", "text", "label")
+    model = text_pipeline(docs)
+    rows = docs.select("doc_id", "text", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000).alias("sent_at"))
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    ids = sorted(r.doc_id for r in rows.select("doc_id").collect())
+    half = ids[len(ids) // 2]
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(str(src))
+        score_stream_once(stream, model, ["doc_id"], "doc_id", "sent_at", out, state, watermark="100000 days").awaitTermination()
+
+    rows.where(F.col("doc_id") <= half).write.parquet(str(src / "a"))
+    run()
+    # A restart on the same checkpoint: old messages again, new ones, repeats among them.
+    rows.write.parquet(str(src / "b"))
+    rows.where(F.col("doc_id") > half).write.parquet(str(src / "c"))
+    run()
+    got = [r.doc_id for r in spark.read.parquet(out).select("doc_id").collect()]
+    assert sorted(got) == ids
+    # A batch run again overwrites only itself.
+    write = batch_writer(out)
+    first = spark.read.parquet(f"{out}/batch=0")
+    write(spark.createDataFrame(first.collect(), first.schema), 0)
+    assert sorted(r.doc_id for r in spark.read.parquet(out).select("doc_id").collect()) == ids
