@@ -59,7 +59,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkwright.session import materialize, ship_package
+from sparkwright.session import materialize, scratch_path, ship_package
 
 # Fixed values of the contract: the term pattern and the letters that are lower-cased.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -84,6 +84,21 @@ VOCABULARY_BROADCAST = 1 << 20
 TF_SCHEMA = "row long, doc_id long, n long, term string, tf long"
 
 
+def _written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` written below the shared scratch folder and read back, with its path."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _remove(spark, path: str) -> None:
+    """Delete a written table once every table read later has been written from it, so
+    that lost work re-reads its successors' files and never this one."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _pieces(batch: pa.RecordBatch):
     """Slices of a batch with at most PIECE_BYTES of text, a longer text alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
@@ -162,7 +177,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     if vocabulary is not None and small is None:
         known = vocabulary.select("term", F.lit(True).alias("_known"))
         counted = counted.join(known, "term", "left").where(F.col("term").isNull() | F.col("_known")).drop("_known")
-    tf = materialize(counted, "lexical-tf")
+    tf, tf_path = _written(counted, "lexical-tf")
     totals = tf.where(F.col("term").isNull()).agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = int(totals["N"] or 0), int(totals["L"] or 0)
     tf = tf.where(F.col("term").isNotNull())
@@ -173,7 +188,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     w = F.floor(
         F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2.0)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))
     ).cast("long")
-    weights = materialize(df.withColumn("w", w).where(F.col("w") > 0), "lexical-weights")
+    weights, weights_path = _written(df.withColumn("w", w).where(F.col("w") > 0), "lexical-weights")
     m = f"(50L + (50L * n * {big_n}L) div {big_l}L)"
     c = F.expr(f"w * ((1000000000L * tf) div (1000L * tf + 20L * {m}))")
     salts = (F.col("df") / SALT_ROWS).cast("int") + 1
@@ -188,6 +203,8 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     postings = materialize(postings, "lexical-postings")
     impact = postings.groupBy("term").agg(F.max("c").alias("impact"))
     stats = materialize(weights.join(impact, "term"), "lexical-terms")
+    _remove(spark, tf_path)
+    _remove(spark, weights_path)
     return postings, stats, big_n
 
 
@@ -294,7 +311,7 @@ def search(
         .where(F.col("rare_score") + F.coalesce("bound", F.lit(0)) >= F.coalesce("kth", F.lit(0)))
         .select("item_id", "row", "doc_id", "rare_score")
     )
-    hopeful = materialize(hopeful, "lexical-hopeful")
+    hopeful, hopeful_path = _written(hopeful, "lexical-hopeful")
     frequent_postings = postings.join(stats.where(frequent).select("term"), "term", "left_semi")
     completed = _complete(hopeful.select("item_id", "row", "doc_id"), frequent_postings, frequent_terms, small)
     scored = materialize(
@@ -304,6 +321,7 @@ def search(
         ),
         "lexical-candidates",
     )
+    _remove(spark, hopeful_path)
 
     # Documents with frequent terms only. With theta the k-th candidate score, such a
     # document reaches theta only if one of its n frequent query terms gives at least
