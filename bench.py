@@ -40,6 +40,7 @@ HEADLINE = [
     "knn_dense",
     "knn_text",
     "tree_classifier",
+    "logistic_text",
 ]
 
 
