@@ -7,8 +7,8 @@ byte, its start id; for every id, the bytes it stands for. The tables have the s
 vocabulary file (a fixed bound) and are broadcast. Executors then encode Arrow batches of
 texts: a text is split at the added (special) tokens, the rest pre-split by the pattern,
 and each pre-split word runs through the tables - the pair of lowest rank, leftmost first,
-is replaced by its target until no pair has a transition. Words of up to SHORT bytes
-rescan their pairs; longer ones keep a heap over the pairs and links between neighbours,
+is replaced by its target until no pair has a transition. Words of up to SHORT bytes keep
+a list of pair values updated at the two neighbours of each merge; longer ones keep a heap over the pairs and links between neighbours,
 n log n for a word of n bytes, so a word of a megabyte is no worse than many short ones. Decoding emits the bytes of each id's label and reads them
 as UTF-8 (invalid sequences as U+FFFD, as the library does).
 
@@ -38,7 +38,8 @@ from sparkwright.session import ship_package
 SHIFT = 20
 LOW = (1 << SHIFT) - 1
 CACHE_WORDS = 200_000
-SHORT = 16
+SHORT = 64
+NONE = 1 << 62
 
 
 def _byte_chars() -> list[str]:
@@ -102,18 +103,24 @@ class Encoder:
         ids = [self.start[b] for b in text.encode("utf-8")]
         n = len(ids)
         if 1 < n <= SHORT:
-            # Short words: rescan the pairs; (rank << 20 | target) orders by rank, and the
-            # strict comparison keeps the leftmost of equal pairs.
-            steps = self.steps
-            while len(ids) > 1:
-                best, at = None, -1
-                for i in range(len(ids) - 1):
-                    t = steps.get(ids[i] << SHIFT | ids[i + 1])
-                    if t is not None and (best is None or t < best):
-                        best, at = t, i
-                if best is None:
+            # Short words: a list of packed pair values (rank << 20 | target, NONE where no
+            # merge applies); min and index run in C, and the leftmost of equal values is
+            # the leftmost occurrence of that pair. A merge updates its two neighbours.
+            get = self.steps.get
+            r = [get(ids[i] << SHIFT | ids[i + 1], NONE) for i in range(n - 1)]
+            while r:
+                best = min(r)
+                if best == NONE:
                     break
-                ids[at : at + 2] = [best & LOW]
+                at = r.index(best)
+                new = best & LOW
+                ids[at] = new
+                del ids[at + 1]
+                del r[at]
+                if at > 0:
+                    r[at - 1] = get(ids[at - 1] << SHIFT | new, NONE)
+                if at < len(ids) - 1:
+                    r[at] = get(new << SHIFT | ids[at + 1], NONE)
         elif n > SHORT:
             steps = self.steps
             nxt = list(range(1, n + 1))
