@@ -59,7 +59,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkwright.session import materialize, scratch_path, ship_package
+from sparkwright.session import scratch_path, ship_package
 
 # Fixed values of the contract: the term pattern and the letters that are lower-cased.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -87,10 +87,15 @@ TF_SCHEMA = "row long, doc_id long, n long, term string, tf long"
 def _written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``df`` written below the shared scratch folder and read back, with its path."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def _kept(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written (zstd) and read back; it stays for the rest of the search."""
+    return _written(df, tag)[0]
+
+
 def _remove(spark, path: str) -> None:
     """Delete a written table once every table read later has been written from it, so
     that lost work re-reads its successors' files and never this one."""
@@ -200,9 +205,9 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
         )
         .where(F.col("c") > 0)
     )
-    postings = materialize(postings, "lexical-postings")
+    postings = _kept(postings, "lexical-postings")
     impact = postings.groupBy("term").agg(F.max("c").alias("impact"))
-    stats = materialize(weights.join(impact, "term"), "lexical-terms")
+    stats = _kept(weights.join(impact, "term"), "lexical-terms")
     _remove(spark, tf_path)
     _remove(spark, weights_path)
     return postings, stats, big_n
@@ -271,7 +276,7 @@ def search(
     asked = items.select(
         F.col(item_id).cast("long").alias("item_id"), F.explode(terms_of(F.col(item_text))).alias("term")
     ).where(F.col("item_id").isNotNull()).distinct()
-    asked = materialize(asked, "lexical-asked")
+    asked = _kept(asked, "lexical-asked")
     postings, stats, big_n = index(docs, doc_id, doc_text, asked.select("term").distinct())
     if big_n == 0:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
@@ -285,7 +290,7 @@ def search(
         .withColumn("salts", (F.col("df") / SALT_ROWS).cast("int") + 1)
         .withColumn("bit", F.row_number().over(bits) - 1)
     )
-    query_terms = materialize(query_terms, "lexical-queries")
+    query_terms = _kept(query_terms, "lexical-queries")
     # The query terms are sent whole to the tasks only below a counted bound.
     small = query_terms.count() <= QUERY_BROADCAST
 
@@ -296,7 +301,7 @@ def search(
 
     # Candidates: documents that hold a rare term of the query.
     rare = hits_of(query_terms.where(~F.col("frequent")).select("item_id", "term", "salts"))
-    candidates = materialize(
+    candidates = _kept(
         rare.groupBy("item_id", "row", "doc_id").agg(F.sum("c").alias("rare_score")), "lexical-rare"
     )
     frequent_terms = query_terms.where(F.col("frequent")).select("item_id", "term", "bit", "impact")
@@ -314,7 +319,7 @@ def search(
     hopeful, hopeful_path = _written(hopeful, "lexical-hopeful")
     frequent_postings = postings.join(stats.where(frequent).select("term"), "term", "left_semi")
     completed = _complete(hopeful.select("item_id", "row", "doc_id"), frequent_postings, frequent_terms, small)
-    scored = materialize(
+    scored = _kept(
         hopeful.join(completed.select("item_id", "row", F.col("score").alias("frequent_score")), ["item_id", "row"], "left").select(
             "item_id", "row", "doc_id",
             (F.col("rare_score") + F.coalesce("frequent_score", F.lit(0))).alias("score"),
@@ -331,7 +336,7 @@ def search(
     limits = bounds.join(theta, "item_id", "left").select(
         "item_id", "n_frequent", F.coalesce("kth", F.lit(0)).alias("kth"), "bound"
     ).where(F.col("bound") >= F.col("kth"))
-    limits = materialize(limits, "lexical-limits")
+    limits = _kept(limits, "lexical-limits")
     strong = hits_of(
         query_terms.where(F.col("frequent")).join(limits, "item_id").select("item_id", "term", "salts", "n_frequent", "kth")
     ).where(F.col("c") * F.col("n_frequent") >= F.col("kth"))
@@ -339,7 +344,7 @@ def search(
         candidates.select("item_id", "row"), ["item_id", "row"], "left_anti"
     )
     others = _complete(reach, frequent_postings, frequent_terms, small)
-    others = materialize(others, "lexical-masks")
+    others = _kept(others, "lexical-masks")
     masks = others.groupBy("item_id", "mask").agg(F.max("bound").alias("bound"))
     taken = masks.join(limits.select("item_id", "kth"), "item_id").where(F.col("bound") >= F.col("kth"))
     reached = others.join(taken.select("item_id", "mask"), ["item_id", "mask"], "left_semi").select(
