@@ -271,9 +271,20 @@ def logistic_tabular(spark, d):
     return _scored(spark, d, lambda t: L.logistic(t, "label", weight="weight"))
 
 
+def _sql_type(values):
+    if isinstance(values[0], bool):
+        return "boolean"
+    if isinstance(values[0], int):
+        return "int" if all(-(2**31) <= v < 2**31 for v in values) else "bigint"
+    return "double" if isinstance(values[0], float) else "string"
+
+
 def _rows(spark, records):
-    structs = [F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in records]
-    return spark.range(1).select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    """A table of the driver's records (steps, rules, shares: as large as a model). They are
+    local rows; as literals of one plan, thousands take the analyzer longer than the fit."""
+    names = list(records[0])
+    schema = ", ".join(f"{n} {_sql_type([r[n] for r in records])} NOT NULL" for n in names)
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in records], schema)
 
 
 def _cart(spark, d):
