@@ -88,3 +88,22 @@ def test_pure_empty_and_null_rows(spark):
     # 1 | 2, null: equal scores, the smaller value wins; then 2 | null, null going right.
     assert got[0]["threshold"] == 1.5 and got[2]["threshold"] == 2.0
     assert [(v["id"], v["n0"], v["n1"]) for v in got[1:]] == [(2, 1, 0), (3, 1, 1), (6, 0, 1), (7, 1, 0)]
+
+
+def test_subtrees_in_tasks_equal_levels_on_spark(spark):
+    rows = table(random.Random(8), 400)
+    rows += [(i % 2, None, float("nan") if i % 3 else 0.0, 7.0) for i in range(20)]
+    cols = ["a", "b", "c"]
+    df = spark.createDataFrame(rows, "y int, a double, b double, c double")
+    local = cart.fit(df, "y", cols)
+    assert cart.fit(df, "y", cols, max_depth=2, local_rows=0) == cart.fit(df, "y", cols, max_depth=2)
+    assert cart.fit(df, "y", cols, local_rows=60) == local
+    assert sum(v["n0"] + v["n1"] for v in local if "threshold" not in v) == 420
+
+
+def test_many_nodes_are_one_quick_table(spark):
+    from sparkwright.plans.explaining import _rows
+
+    out = _rows(spark, [{"i": i, "big": 2**31 + i, "x": i / 2, "leaf": i % 2 == 0, "s": "t"} for i in range(20000)])
+    assert [f.dataType.simpleString() for f in out.schema] == ["int", "bigint", "double", "boolean", "string"]
+    assert out.count() == 20000 and len(out._jdf.queryExecution().logical().toString()) < 10000

@@ -83,3 +83,16 @@ def test_poisson_weights_have_mean_one(spark):
     df = spark.range(20000).withColumn("w", forest.bootstrap_weight(1, "id", "id"))
     mean = df.agg({"w": "avg"}).first()[0]
     assert abs(mean - 1.0) < 0.03 and math.isclose(forest.POISSON_CDF[0], math.exp(-1))
+
+
+def test_levels_on_spark_grow_the_same_forest_and_slices_score_alike(spark):
+    rng = random.Random(5)
+    rows = [(i, int(rng.random() < 0.5), float(i % 7), float(rng.randrange(5)), float(i % 3)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double, c double")
+    cols = ["a", "b", "c"]
+    local = forest.fit(df, "y", cols, "id", trees=3, features=2, seed=1)
+    assert forest.fit(df, "y", cols, "id", trees=3, features=2, seed=1, local_rows=40) == local
+    table = forest.fit_table(df, "y", cols, "id", trees=3, features=2, seed=1)
+    one = {r.id: r.p for r in forest.predict(df, table, cols, "id").collect()}
+    many = {r.id: r.p for r in forest.predict(df, local, cols, "id", scored_rows=10).collect()}
+    assert one == pytest.approx(many) and len(one) == 120
