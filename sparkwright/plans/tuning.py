@@ -28,17 +28,19 @@ def tree_grid(spark, d):
     full = L.tree_classifier(train, "label")
     full_nodes = C.tree_nodes(full, spark)
     alphas = C.prune_alphas(full_nodes) or [0.0]
-    keep = ["doc_id", "label", "fold"]
 
     def fit_score(part, valid):
         model = L.tree_classifier(part, "label")
-        return C.score_pruned(model, C.tree_nodes(model, spark), valid, alphas, keep)
+        return C.pruned_spans(model, C.tree_nodes(model, spark), valid, alphas)
+
+    def fold_metrics(part):
+        return C.grid_metrics(S.oof_probs(part, fit_score), alphas)
 
     def refit(part, held, best):
         # The tree grown on all training rows is the refit; only its pruning changes.
         return C.score_pruned(full, full_nodes, held, [best["alpha"]], ["doc_id", "label"])
 
-    return S.grid_search_refit(train, test, lambda t: S.oof_probs(t, fit_score), refit, ["alpha"], "roc_auc")
+    return S.grid_search_refit(train, test, None, refit, ["alpha"], "roc_auc", fold_metrics=fold_metrics)
 
 
 @query("grid_search_tree")
