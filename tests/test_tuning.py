@@ -118,3 +118,40 @@ def test_tree_grid_and_permutation_queries(spark, sf):
     assert refit and {r.alpha for r in refit} == {best}
     perm = QUERIES["permutation_importance_tree"](spark, sf).collect()
     assert len(perm) == 13 and all(r.base_auc is not None for r in perm)
+
+
+def test_folds_do_not_repeat_the_rows_of_the_naive_bayes_weights(spark):
+    rng = random.Random(6)
+    rows = [(i, i % 2, i % 5, f"t{t}", rng.randrange(1, 4)) for i in range(60) for t in rng.sample(range(12), 4 + 2 * (i % 2))]
+    counts = spark.createDataFrame(rows, "doc_id long, label int, fold int, term string, tf long")
+    docs = counts.select("doc_id", "label", "fold").distinct()
+    out = S.nb_oof(counts, docs, [0.5])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # Only the vocabulary, not the counts, is unfolded by fold.
+    windows = [line for line in plan.splitlines() if "Window" in line and "doc_id" in line]
+    assert windows and not any(" f#" in line for line in windows)
+    got = {r.doc_id: r.p1 for r in out.collect()}
+    assert len(got) == 60
+    import math
+    for f in range(5):
+        train = {i for i, _, g, _, _ in rows if g != f}
+        df = {}
+        for i, _, _, t, _ in rows:
+            if i in train:
+                df[t] = df.get(t, 0) + 1
+        idf = {t: math.log((1 + len(train)) / (1 + n)) + 1 for t, n in df.items() if 2 <= n <= 0.98 * len(train)}
+        w = {}
+        for i, y, g, t, c in rows:
+            if t in idf:
+                w.setdefault((i, y, g), {})[t] = (1 + math.log(c)) * idf[t]
+        for v in w.values():
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            for t in v:
+                v[t] /= norm
+        mass = {(t, c): sum(v.get(t, 0.0) for (i, y, g), v in w.items() if y == c and g != f) for t in idf for c in (0, 1)}
+        total = {c: sum(mass[t, c] for t in idf) + 0.5 * len(idf) for c in (0, 1)}
+        prior = {c: math.log(len({i for i, y, g, _, _ in rows if g != f and y == c}) / len(train)) for c in (0, 1)}
+        for (i, y, g), v in w.items():
+            if g == f:
+                s = [prior[c] + sum(x * math.log((mass[t, c] + 0.5) / total[c]) for t, x in v.items()) for c in (0, 1)]
+                assert got[i] == pytest.approx(1 / (1 + math.exp(s[0] - s[1])))
