@@ -7,7 +7,9 @@ short forms cover ASCII only.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,6 +37,8 @@ MAIL_RUN = (
 )
 SPECIAL = r"[{.()!:,=/<>?}-]+"
 NON_LETTER = rf"[^a-zA-Z{SPACE_CHARS}]+"
+# NON_LETTER less the characters of SPECIAL, which part words as blanks do.
+GLUED = rf"[^a-z{{.()!:,=/<>?}}{SPACE_CHARS}-]+"
 PUNCT = rf"[^{WORD_CHARS}{SPACE_CHARS}]"
 DIGIT = r"\p{Nd}"
 ALPHA = r"[a-zA-Z]"
@@ -43,6 +47,7 @@ NON_SPACE = rf"[^{SPACE_CHARS}]+"
 WORDS = rf"[{WORD_CHARS}]+"
 WORD_OR_PUNCT = rf"[{WORD_CHARS}]+|[^{WORD_CHARS}{SPACE_CHARS}]+"
 KEPT_WORD = r"\b[a-z]{4,39}\b"
+LONG_RUN = r"[a-z]{4,}"
 MARKUP = (
     r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script[^>]*>|\z)"
     r"|style\b[^>]*>.*?(?:</style[^>]*>|\z)|/?[a-z!?][^>]*>)"
@@ -78,6 +83,17 @@ def _drop(c: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(c, pattern, to)
 
 
+def _where_found(c: Column, marks: Iterable[str], change: Callable[[Column], Column]) -> Column:
+    """``change`` of the texts that hold one of the marks, the others as they are. The lambda
+    names the text, so that it is computed once for the test and the change."""
+
+    def step(t: Column) -> Column:
+        found = reduce(or_, [F.contains(t, F.lit(m)) for m in marks])
+        return F.when(found, change(t)).otherwise(t)
+
+    return F.transform(F.array(c), step)[0]
+
+
 def _mail_pattern(raw: Column) -> Column:
     """The mail pattern for texts that can hold an address, a pattern without matches
     for the others: its search starts a scan at every word. The choice sits in the
@@ -207,10 +223,7 @@ def _drop_markup(c: Column) -> Column:
     return F.replace(_drop(held, MARKUP), F.lit("\u0002"), F.lit("<"))
 
 
-def strip_markup(c: str | Column) -> Column:
-    """Visible text of marked-up input: comments, scripts, styles and tags go,
-    character references are resolved. An open comment reaches to the end."""
-    t = _ascii_references(_drop_markup(_c(c)))
+def _named_entities(t: Column) -> Column:
     for name, char in ENTITIES.items():
         if name == "&amp;":
             t = F.regexp_replace(t, r"&(?!amp;)[a-zA-Z][a-zA-Z0-9]*;", "")
@@ -218,20 +231,35 @@ def strip_markup(c: str | Column) -> Column:
     return t
 
 
+def strip_markup(c: str | Column) -> Column:
+    """Visible text of marked-up input: comments, scripts, styles and tags go,
+    character references are resolved. An open comment reaches to the end. A step is left
+    out for texts without the character it starts at (or the one it sets aside)."""
+    t = _where_found(_c(c), ["<", "\u0002"], _drop_markup)
+    t = _where_found(t, ["&#", "\u0000"], _ascii_references)
+    return _where_found(t, ["&"], _named_entities)
+
+
 def letters_only(c: str | Column) -> Column:
-    """All rewrites up to the point where only lower-case letters and spaces are left."""
-    t = F.regexp_replace(strip_markup(drop_link_prefixes(c)), _mail_pattern(_c(c)), F.lit("$1"))
-    for pattern in (URL, MENTION, HASHTAG):
-        t = _drop(t, pattern)
-    t = _drop(F.lower(t), SPECIAL, " ")
-    return _drop(t, NON_LETTER)
+    """All rewrites up to the point where only lower-case letters, spaces and the
+    characters of SPECIAL are left; the latter two part words."""
+    t = strip_markup(drop_link_prefixes(c))
+    t = _where_found(t, ["@"], lambda x: F.regexp_replace(x, MAIL_RUN, "$1"))
+    for mark, pattern in (("://", URL), ("@", MENTION), ("#", HASHTAG)):
+        t = _where_found(t, [mark], lambda x, pattern=pattern: _drop(x, pattern))
+    return _drop(F.lower(t), GLUED)
 
 
 def clean_tokens(c: str | Column, stop_words: Iterable[str] | None = None) -> Column:
     """Words of 4 to 39 letters that are not stop words, in text order."""
     stop = list(default_stop_words() if stop_words is None else stop_words)
-    words = F.regexp_extract_all(letters_only(c), F.lit(KEPT_WORD), F.lit(0))
-    return F.filter(words, lambda w: ~w.isin(stop)) if stop else words
+    runs = F.regexp_extract_all(letters_only(c), F.lit(LONG_RUN), F.lit(0))
+
+    def kept(w: Column) -> Column:
+        short = F.length(w) < 40
+        return short & ~w.isin(stop) if stop else short
+
+    return F.filter(runs, kept)
 
 
 def clean_text(c: str | Column, stop_words: Iterable[str] | None = None) -> Column:
