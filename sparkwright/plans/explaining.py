@@ -427,7 +427,7 @@ def logistic_text(spark, d):
     docs = labelled_docs(spark, d)
     split = P.stratified_split(docs.select("doc_id", "label"), "label", "doc_id", 0.3, seed=0)
     split = materialize(split, "split")
-    toks = docs.select("doc_id", T.clean_tokens("text").alias("toks"))
+    toks = labelled_docs(spark, d, by_key=True).select("doc_id", T.clean_tokens("text").alias("toks"))
     counts = materialize(V.term_counts(toks, F.col("toks"), ["doc_id"]), "counts")
     train_counts = counts.join(split.where("is_test = 0").select("doc_id"), "doc_id")
     vocab = V.df_prune(train_counts, F.lit(1), 2, float("inf"))

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from sparkwright.operators import shape as S
 from sparkwright.plans.registry import query
-from sparkwright.session import load, load_texts
+from sparkwright.session import load, load_texts, load_texts_by_key
 
 
-def labelled_docs(spark, d, label="toxic"):
-    """documents JOIN labels with one label column."""
-    docs = load_texts(spark, d, "documents", "doc_id").select("doc_id", "text", "lang", "n_chars")
+def labelled_docs(spark, d, label="toxic", by_key=False):
+    """documents JOIN labels with one label column; ``by_key``: dealt by document."""
+    read = load_texts_by_key if by_key else load_texts
+    docs = read(spark, d, "documents", "doc_id").select("doc_id", "text", "lang", "n_chars")
     labels = load(spark, d, "labels").select("doc_id", F.col(label).alias("label"))
     return docs.join(labels, "doc_id")
 

@@ -12,7 +12,7 @@ from sparkwright.operators import vocabulary as V
 from sparkwright.plans import sqlparts as Q
 from sparkwright.plans.registry import query
 from sparkwright.plans.shaping import labelled_docs
-from sparkwright.session import load, load_texts, materialize
+from sparkwright.session import load, load_texts, load_texts_by_key, materialize
 
 PIVOT_WORDS = ["that", "with", "this", "avec", "dans", "nicht", "para", "como"]
 
@@ -22,20 +22,21 @@ def labelled_tokens(spark, d):
     return V.explode_tokens(labelled_docs(spark, d), T.clean_tokens("text"), ["doc_id", "label"])
 
 
-def all_words(spark, d):
-    return V.explode_tokens(load_texts(spark, d, "documents", "doc_id"), T.word_tokens("text"), ["doc_id"])
+def all_words(spark, d, read=load_texts):
+    return V.explode_tokens(read(spark, d, "documents", "doc_id"), T.word_tokens("text"), ["doc_id"])
 
 
 def clean_counts(spark, d, bigrams=True):
     """(doc_id, term, tf) over all documents."""
-    docs = load_texts(spark, d, "documents", "doc_id").select("doc_id", T.clean_tokens("text").alias("toks"))
+    docs = load_texts_by_key(spark, d, "documents", "doc_id")
+    docs = docs.select("doc_id", T.clean_tokens("text").alias("toks"))
     return V.term_counts(docs, V.with_bigrams("toks") if bigrams else F.col("toks"), ["doc_id"])
 
 
 def split_counts(spark, d):
     """Term counts of the labelled documents with the train/test flag, written once
     because the vocabulary, the weights and every model read them again."""
-    docs = P.random_split(labelled_docs(spark, d), "doc_id")
+    docs = P.random_split(labelled_docs(spark, d, by_key=True), "doc_id")
     keep = ["doc_id", "label", "is_test"]
     toks = docs.select(*keep, T.clean_tokens("text").alias("toks"))
     return materialize(V.term_counts(toks, V.with_bigrams("toks"), keep), "term-counts")
@@ -199,7 +200,8 @@ IDS = f"""
 
 def _ids(spark, d):
     vocab = materialize(V.vocab_rank(all_words(spark, d), "word"), "vocab")
-    return V.texts_to_ids(load_texts(spark, d, "documents", "doc_id"), "doc_id", T.word_tokens("text"), vocab)
+    docs = load_texts_by_key(spark, d, "documents", "doc_id")
+    return V.texts_to_ids(docs, "doc_id", T.word_tokens("text"), vocab)
 
 
 @query(
@@ -308,7 +310,7 @@ def vector_left_join(spark, d):
     """,
 )
 def mean_embedding(spark, d):
-    words = all_words(spark, d).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    words = all_words(spark, d, load_texts_by_key).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
     vectors = materialize(_id_vectors(spark, d, "zeros"), "id-vectors")
     ids = V.oov_ids(words, vectors)
     found = V.mean_embedding(ids, F.broadcast(vectors.select("id", "vector")), "doc_id", 64)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 TEXT_PARTITIONS = "spark.sparkwright.textPartitions"
+KEYED_ROWS = 8192
 
 
 def get_spark(app: str = "sparkwright", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -42,6 +43,15 @@ def load_texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFra
     return df.repartition(int(parts), key) if parts else df
 
 
+def load_texts_by_key(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """The same rows, those of one key always in one partition: words taken from the texts
+    are then grouped by the key where they are, and what crosses the network is each text
+    once, not each of its words. A partition has about ``KEYED_ROWS`` rows."""
+    df = load(spark, sf_dir, name)
+    least = int(spark.conf.get(TEXT_PARTITIONS, None) or spark.sparkContext.defaultParallelism)
+    return df.repartition(max(least, -(-df.count() // KEYED_ROWS)), key)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
