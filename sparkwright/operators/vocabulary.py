@@ -170,8 +170,8 @@ def to_sparse_vector(
     ship_package(weights.sparkSession)
 
     @F.udf(VectorUDT())
-    def build(entries):
-        return Vectors.sparse(size, [e["idx"] for e in entries], [e["w"] for e in entries])
+    def build(idx, w):
+        return Vectors.sparse(size, idx, w)
 
     entry = F.struct("idx", "w")
     entries = (
@@ -182,7 +182,7 @@ def to_sparse_vector(
     if keys is not None:
         none = F.array().cast(entries.schema["entries"].dataType)
         entries = keys.select(key).join(entries, key, "left").select(key, F.coalesce("entries", none).alias("entries"))
-    return entries.select(key, build("entries").alias("features"))
+    return entries.select(key, build("entries.idx", "entries.w").alias("features"))
 
 
 def index_terms(fit: DataFrame) -> DataFrame:

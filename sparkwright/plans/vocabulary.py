@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sparkwright.functions import text as T
@@ -162,15 +161,15 @@ def to_sparse_vector(spark, d):
     fit, weights = fitted_tfidf(spark, d)
     vocab = V.index_terms(fit).select("term", "idx")
     vectors = V.to_sparse_vector(weights, "doc_id", vocab, V.MAX_FEATURES)
-    slots = vectors.withColumn("x", vector_to_array("features"))
+    # The filled slots only: as a dense array a document would have MAX_FEATURES of them.
+    slots = vectors.withColumn("x", F.unwrap_udt("features"))
     total = F.lit(0.0)
+    placed = F.zip_with("x.values", "x.indices", lambda v, i: v * i)
     return slots.select(
         "doc_id",
-        F.size(F.filter("x", lambda v: v != 0)).cast("bigint").alias("filled"),
-        F.round(F.aggregate("x", total, lambda a, v: a + v), 6).alias("weight_sum"),
-        F.round(
-            F.aggregate(F.transform("x", lambda v, i: v * i), total, lambda a, v: a + v), 3
-        ).alias("index_sum"),
+        F.size(F.filter("x.values", lambda v: v != 0)).cast("bigint").alias("filled"),
+        F.round(F.aggregate("x.values", total, lambda a, v: a + v), 6).alias("weight_sum"),
+        F.round(F.aggregate(placed, total, lambda a, v: a + v), 3).alias("index_sum"),
     )
 
 
