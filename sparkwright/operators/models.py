@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
+PART_ROWS = 100_000
 
 
 def _n_and_std(train: DataFrame, label: str) -> tuple[int, float]:
@@ -29,6 +30,13 @@ def _n_and_std(train: DataFrame, label: str) -> tuple[int, float]:
     return r["n"], r["s"] or 1.0
 
 
+def _bounded_parts(train: DataFrame) -> DataFrame:
+    """Every round of a fit reads the cached rows once more, a partition a task: where the
+    files give partitions of more than ``PART_ROWS`` rows on average, they are dealt anew."""
+    n = -(-train.count() // PART_ROWS)
+    return train.repartition(n) if n > train.rdd.getNumPartitions() else train
+
+
 def linear_regression(train: DataFrame, label: str, features: str = "features"):
     return LinearRegression(
         featuresCol=features, labelCol=label, regParam=0.0, solver="normal"
@@ -93,7 +101,7 @@ def gbt_regressor(
     return GBTRegressor(
         featuresCol=features, labelCol=label, maxIter=rounds, stepSize=rate, maxDepth=max_depth,
         maxBins=max_bins, seed=seed, maxMemoryInMB=1024,
-    ).fit(train)
+    ).fit(_bounded_parts(train))
 
 
 def tree_classifier(
