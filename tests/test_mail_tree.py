@@ -1,0 +1,11 @@
+from sparkwright.plans import files
+
+
+def test_mails_are_moved_by_the_tasks(spark, sf, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    seen = {}
+    option = DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda w, k, v: (seen.update({k: v}), option(w, k, v))[1])
+    files._mail_tree(spark, sf)
+    assert seen["mapreduce.fileoutputcommitter.algorithm.version"] == 2
