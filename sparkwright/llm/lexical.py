@@ -17,23 +17,26 @@ Method (presence masks, exact):
    on bounded pieces of a batch), so only (row, term, tf) pairs leave it, never single
    occurrences, and only for terms that some query holds (the others change no score; N
    and L come from per-text totals). From them come the postings (row, term, c) and per term its df, w and the
-   largest c of any document (its impact). Postings are written once; terms of weight 0
-   add nothing and are left out.
+   largest c of any document (its impact). Postings are written once, with a number for
+   each term (``tid``), so that later joins compare longs; terms of weight 0 add nothing
+   and are left out.
 2. A query's terms are *rare* or *frequent* (df above ``1 / FREQUENT_SHARE`` of N). Rare
-   postings are joined to the queries; every document they reach is a candidate. The
-   k-th best rare score bounds the k-th final score from below, and a candidate's final
-   score is at most its rare score plus the impacts of the query's frequent terms; the
-   candidates that can still reach the bound get their frequent terms looked up by
-   (row, term), so they have exact scores, and the others are out.
-3. A document that holds only frequent terms of a query scores at most the sum of their
-   impacts. Where that bound is below theta, the query's k-th candidate score, the query
-   is finished. Otherwise such a document reaches theta only if one of the query's n
-   frequent terms gives it at least theta / n: the postings are filtered by that as they
-   stream past the broadcast query terms, the few documents that pass are completed,
-   their matched terms become a bitmap (63 terms a long, ``bit_or``; a mask is named by
-   the sum of its buckets' 64-bit hashes), documents are grouped by mask, and a mask
-   whose bound is below theta is never ranked.
-   Candidates are completed grouped by document, so each document's postings are read
+   postings are joined to the queries and summed. Each query's best ``SEEDS * k`` documents
+   by that rare score are completed; theta, their k-th exact score, is at most the k-th
+   final score.
+3. A query's frequent terms are taken by rising impact: those whose impacts add up to at
+   most ``SLACK_SHARE`` of theta are *slack*, the others *essential*. A document reaches
+   theta only if its rare and essential terms give it theta less the impacts of the slack
+   terms, so only the essential postings are summed, as they stream past the broadcast
+   query terms, together with the rare scores. A query with fewer than k documents in
+   step 2 has theta 0 and no slack terms, so its sums are its scores.
+4. Each query's best ``SEEDS * k`` documents by that sum are completed for a larger theta,
+   which the sums are held against once more.
+5. The few documents that pass are completed: all their terms looked up, their matched
+   terms become a bitmap (63 terms a long, ``bit_or``; a mask is named by the sum of its
+   buckets' 64-bit hashes), documents are grouped by mask, and a mask whose bound (the sum
+   of its terms' impacts) is below theta is never ranked.
+   Documents are completed grouped by row, so each document's postings are read
    once for all its queries and one summed row per (query, document) is shuffled.
 
 Skew: the query terms are broadcast to the postings when a count shows at most
@@ -68,6 +71,11 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 FREQUENT_SHARE = 64
 SALT_ROWS = 4096
+#: Documents completed for each of a query's k places to find theta.
+SEEDS = 4
+#: Frequent terms that together give at most this share of theta are not summed before
+#: the filter. A larger share sums fewer postings and completes more documents.
+SLACK_SHARE = 0.6
 #: Query terms are broadcast to the postings when they are at most this many rows.
 QUERY_BROADCAST = 2_000_000
 
@@ -159,8 +167,9 @@ def term_counts(batches, vocabulary=None):
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: DataFrame | None = None):
-    """Postings (row, doc_id, term, c, salt) and term statistics (term, df, w, impact),
-    written. A term's postings are dealt over ``df // SALT_ROWS + 1`` salts by row.
+    """Postings (row, doc_id, tid, c, salt) and term statistics (term, tid, df, w, impact),
+    written; ``tid`` is the term's number in the statistics. A term's postings are dealt
+    over ``df // SALT_ROWS + 1`` salts by row.
 
     Terms are counted inside each text's task; only (row, term) pairs are shuffled. With a
     ``vocabulary`` (one column ``term``) only its terms are indexed - N and L still count
@@ -187,41 +196,45 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     big_n, big_l = int(totals["N"] or 0), int(totals["L"] or 0)
     tf = tf.where(F.col("term").isNotNull())
     if big_n == 0:
-        empty = spark.createDataFrame([], "row long, doc_id long, term string, c long, salt int")
-        return empty, spark.createDataFrame([], "term string, df long, w long, impact long"), 0
+        empty = spark.createDataFrame([], "row long, doc_id long, tid long, c long, salt int")
+        return empty, spark.createDataFrame([], "term string, tid long, df long, w long, impact long"), 0
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     w = F.floor(
         F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2.0)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))
     ).cast("long")
-    weights, weights_path = _written(df.withColumn("w", w).where(F.col("w") > 0), "lexical-weights")
+    # The numbers are fixed by this write: all later joins read them from its files.
+    weights, weights_path = _written(
+        df.withColumn("w", w).where(F.col("w") > 0).withColumn("tid", F.monotonically_increasing_id()),
+        "lexical-weights",
+    )
     m = f"(50L + (50L * n * {big_n}L) div {big_l}L)"
     c = F.expr(f"w * ((1000000000L * tf) div (1000L * tf + 20L * {m}))")
     salts = (F.col("df") / SALT_ROWS).cast("int") + 1
     postings = (
-        tf.join(weights.select("term", "w", "df"), "term")
+        tf.join(weights, "term")
         .select(
-            "row", "doc_id", "term", c.alias("c"),
+            "row", "doc_id", "tid", c.alias("c"),
             F.pmod(F.xxhash64("row"), salts).cast("int").alias("salt"),
         )
         .where(F.col("c") > 0)
     )
     postings = _kept(postings, "lexical-postings")
-    impact = postings.groupBy("term").agg(F.max("c").alias("impact"))
-    stats = _kept(weights.join(impact, "term"), "lexical-terms")
+    impact = postings.groupBy("tid").agg(F.max("c").alias("impact"))
+    stats = _kept(weights.join(impact, "tid"), "lexical-terms")
     _remove(spark, tf_path)
     _remove(spark, weights_path)
     return postings, stats, big_n
 
 
 def _salted_hits(queries: DataFrame, postings: DataFrame) -> DataFrame:
-    """queries (item_id, term, salts, ...) joined with postings (row, doc_id, term, c, salt)
+    """queries (item_id, tid, salts, ...) joined with postings (row, doc_id, tid, c, salt)
     on the term: the query row is repeated once per salt of its term."""
     q = queries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    return q.join(postings, ["term", "salt"]).drop("salt", "salts")
+    return q.join(postings, ["tid", "salt"]).drop("salt", "salts")
 
 
-def _best(rows: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("doc_id").asc(), "row")
+def _best(rows: DataFrame, k: int, *ties: str) -> DataFrame:
+    order = Window.partitionBy("item_id").orderBy(F.col("score").desc(), *(ties or ("doc_id", "row")))
     return rows.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
 
 
@@ -235,16 +248,20 @@ def _kth(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _complete(pairs: DataFrame, postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
-    """(item_id, row, doc_id, score, mask, bound) for every (item_id, row, doc_id): the sum, the
-    matched-term mask and the mask's bound over the query's ``terms`` (item_id, term, bit,
+def _complete(
+    pairs: DataFrame, postings: DataFrame, terms: DataFrame, small: bool, few: bool = False
+) -> DataFrame:
+    """(item_id, row, doc_id, score, mask, bound) for every (item_id, row): the sum, the
+    matched-term mask and the mask's bound over the query's ``terms`` (item_id, tid, bit,
     impact) that the row holds. Pairs are grouped by row first, so each document's postings
-    are read once for all its queries, and only one aggregated row per pair is shuffled."""
-    by_row = pairs.groupBy("row", "doc_id").agg(F.collect_set("item_id").alias("items"))
-    hits = by_row.join(postings.select("row", "term", "c"), "row").select(
-        "row", "doc_id", "term", "c", F.explode("items").alias("item_id")
+    are read once for all its queries, and only one aggregated row per pair is shuffled.
+    ``few`` pairs are sent to the postings, others meet them by row."""
+    by_row = pairs.groupBy("row").agg(F.collect_set("item_id").alias("items"))
+    by_row = F.broadcast(by_row) if few else by_row
+    hits = postings.select("row", "doc_id", "tid", "c").join(by_row, "row").select(
+        "row", "doc_id", "tid", "c", F.explode("items").alias("item_id")
     )
-    hits = hits.join(F.broadcast(terms) if small else terms, ["item_id", "term"])
+    hits = hits.join(F.broadcast(terms) if small else terms, ["item_id", "tid"])
     bucket = F.floor(F.col("bit") / 63).alias("bucket")
     per_bucket = hits.groupBy("item_id", "row", "doc_id", bucket).agg(
         F.sum("c").alias("score"),
@@ -269,9 +286,11 @@ def search(
     item_id: str = "item_id",
     item_text: str = "text",
     frequent_share: int = FREQUENT_SHARE,
+    slack_share: float = SLACK_SHARE,
 ) -> DataFrame:
     """Each item's k best documents: (item_id, rank, doc_id, score). A term is frequent
-    when df * frequent_share > N; the answer does not depend on it, only the work."""
+    when df * frequent_share > N; the answer does not depend on it, nor on ``slack_share``
+    (0 to below 1, see SLACK_SHARE), only the work."""
     spark = docs.sparkSession
     asked = items.select(
         F.col(item_id).cast("long").alias("item_id"), F.explode(terms_of(F.col(item_text))).alias("term")
@@ -296,59 +315,62 @@ def search(
 
     def hits_of(terms: DataFrame) -> DataFrame:
         if small:
-            return postings.join(F.broadcast(terms.drop("salts")), "term")
-        return _salted_hits(terms, postings.select("row", "doc_id", "term", "c", "salt"))
+            return postings.join(F.broadcast(terms.drop("salts")), "tid")
+        return _salted_hits(terms, postings.select("row", "doc_id", "tid", "c", "salt"))
 
-    # Candidates: documents that hold a rare term of the query.
-    rare = hits_of(query_terms.where(~F.col("frequent")).select("item_id", "term", "salts"))
+    # Documents that hold a rare term of the query, and theta: the k-th exact score among
+    # the best of them, at most the k-th final score.
+    rare = hits_of(query_terms.where(~F.col("frequent")).select("item_id", "tid", "salts"))
     candidates = _kept(
-        rare.groupBy("item_id", "row", "doc_id").agg(F.sum("c").alias("rare_score")), "lexical-rare"
-    )
-    frequent_terms = query_terms.where(F.col("frequent")).select("item_id", "term", "bit", "impact")
-    bounds = frequent_terms.groupBy("item_id").agg(F.sum("impact").alias("bound"), F.count("*").alias("n_frequent"))
-    # A candidate's final score is at most its rare score plus the bound of the query's
-    # frequent terms, and the k-th best rare score is at most the k-th final score: a
-    # candidate below it by that margin is out, and only the others are completed.
-    floor = _kth(candidates.withColumnRenamed("rare_score", "score"), k)
-    hopeful = (
-        candidates.join(bounds, "item_id", "left")
-        .join(floor.select("item_id", "kth"), "item_id", "left")
-        .where(F.col("rare_score") + F.coalesce("bound", F.lit(0)) >= F.coalesce("kth", F.lit(0)))
-        .select("item_id", "row", "doc_id", "rare_score")
-    )
-    hopeful, hopeful_path = _written(hopeful, "lexical-hopeful")
-    frequent_postings = postings.join(stats.where(frequent).select("term"), "term", "left_semi")
-    completed = _complete(hopeful.select("item_id", "row", "doc_id"), frequent_postings, frequent_terms, small)
-    scored = _kept(
-        hopeful.join(completed.select("item_id", "row", F.col("score").alias("frequent_score")), ["item_id", "row"], "left").select(
-            "item_id", "row", "doc_id",
-            (F.col("rare_score") + F.coalesce("frequent_score", F.lit(0))).alias("score"),
-        ),
-        "lexical-candidates",
+        rare.groupBy("item_id", "row", "doc_id").agg(F.sum("c").alias("score")), "lexical-rare"
     )
-    _remove(spark, hopeful_path)
-
-    # Documents with frequent terms only. With theta the k-th candidate score, such a
-    # document reaches theta only if one of its n frequent query terms gives at least
-    # theta / n; the documents that pass are grouped by their mask of matched terms, and
-    # a mask is ranked only if its bound (the sum of its terms' impacts) reaches theta.
+    terms = query_terms.select("item_id", "tid", "bit", "impact")
+    seeds = _kept(_best(candidates, SEEDS * k).select("item_id", "row"), "lexical-seeds")
+    scored = _complete(seeds, postings, terms, small, seeds.count() <= QUERY_BROADCAST)
     theta = _kth(scored, k).select("item_id", "kth")
-    limits = bounds.join(theta, "item_id", "left").select(
-        "item_id", "n_frequent", F.coalesce("kth", F.lit(0)).alias("kth"), "bound"
-    ).where(F.col("bound") >= F.col("kth"))
-    limits = _kept(limits, "lexical-limits")
-    strong = hits_of(
-        query_terms.where(F.col("frequent")).join(limits, "item_id").select("item_id", "term", "salts", "n_frequent", "kth")
-    ).where(F.col("c") * F.col("n_frequent") >= F.col("kth"))
-    reach = strong.select("item_id", "row", "doc_id").distinct().join(
-        candidates.select("item_id", "row"), ["item_id", "row"], "left_anti"
+
+    # A document's final score is at most the sum of its rare and essential terms plus the
+    # impacts of the query's slack terms: a document whose sum leaves more of theta than
+    # those is out, and only the others are completed.
+    rising = Window.partitionBy("item_id", "frequent").orderBy("impact", "term").rowsBetween(Window.unboundedPreceding, 0)
+    slack = F.col("frequent") & (F.col("upto") <= F.col("kth") * slack_share)
+    split = (
+        query_terms.join(theta, "item_id", "left")
+        .withColumn("kth", F.coalesce("kth", F.lit(0)))
+        .withColumn("upto", F.sum("impact").over(rising))
+        .withColumn("slack", F.when(slack, F.col("upto")).otherwise(F.lit(0)))
+        .select("item_id", "tid", "salts", "frequent", "kth", "slack")
     )
-    others = _complete(reach, frequent_postings, frequent_terms, small)
-    others = _kept(others, "lexical-masks")
-    masks = others.groupBy("item_id", "mask").agg(F.max("bound").alias("bound"))
-    taken = masks.join(limits.select("item_id", "kth"), "item_id").where(F.col("bound") >= F.col("kth"))
-    reached = others.join(taken.select("item_id", "mask"), ["item_id", "mask"], "left_semi").select(
-        "item_id", "row", "doc_id", "score"
+    split = _kept(split, "lexical-split")
+    needs = split.groupBy("item_id").agg(F.max("kth").alias("kth"), F.max("slack").alias("slack"))
+
+    def passing(sums: DataFrame, needs: DataFrame) -> DataFrame:
+        needs = needs.select("item_id", (F.col("kth") - F.col("slack")).alias("need"))
+        return sums.join(F.broadcast(needs) if small else needs, "item_id").where(F.col("score") >= F.col("need"))
+
+    essential = hits_of(
+        split.where(F.col("frequent") & (F.col("slack") == 0)).select("item_id", "tid", "salts")
+    ).select("item_id", "row", F.col("c").alias("score"))
+    sums = (
+        candidates.select("item_id", "row", "score").unionByName(essential)
+        .groupBy("item_id", "row").agg(F.sum("score").alias("score"))
     )
-    ranked = _best(scored.unionByName(reached).where(F.col("score") > 0), k)
+    strong = _kept(passing(sums, needs).select("item_id", "row", "score"), "lexical-strong")
+    # The best sums give a larger theta, and the sums are held against it once more.
+    seeds = _kept(_best(strong, SEEDS * k, "row").select("item_id", "row"), "lexical-seeds")
+    scored = _complete(seeds, postings, terms, small, seeds.count() <= QUERY_BROADCAST)
+    larger = _kth(scored, k).select("item_id", F.col("kth").alias("larger"))
+    needs = _kept(
+        needs.join(larger, "item_id", "left")
+        .select("item_id", F.greatest("kth", F.coalesce("larger", F.lit(0))).alias("kth"), "slack"),
+        "lexical-needs",
+    )
+
+    # The documents that pass are grouped by their mask of matched terms, and a mask is
+    # ranked only if its bound (the sum of its terms' impacts) reaches theta.
+    passed = _kept(_complete(passing(strong, needs).select("item_id", "row"), postings, terms, small), "lexical-masks")
+    masks = passed.groupBy("item_id", "mask").agg(F.max("bound").alias("bound"))
+    taken = masks.join(needs, "item_id").where(F.col("bound") >= F.col("kth"))
+    reached = passed.join(taken.select("item_id", "mask"), ["item_id", "mask"], "left_semi")
+    ranked = _best(reached.where(F.col("score") > 0), k)
     return ranked.select("item_id", "rank", "doc_id", "score")

@@ -81,3 +81,34 @@ def test_vocabulary_filtered_by_join_beyond_the_bound(spark, monkeypatch):
     docs, items = corpus(11)
     found = lexical.search(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), k=5)
     assert sorted(tuple(r) for r in found.collect()) == brute(docs, items, 5)
+
+
+def zipf_corpus(seed, n=1500):
+    """Texts of frequent terms by falling weight, every sixth with a rare one."""
+    rng = random.Random(seed)
+    vocab = [f"f{x}" for x in range(40)]
+    weights = [1 / (x + 2) for x in range(40)]
+    docs = []
+    for i in range(n):
+        ws = rng.choices(vocab, weights, k=rng.randrange(5, 60))
+        docs.append((i, " ".join(ws + [f"r{rng.randrange(60)}"] * (i % 6 == 0))))
+    items = [(j, " ".join(set(rng.choices(vocab, k=18)) | {f"r{rng.randrange(60)}" for _ in range(9)})) for j in range(8)]
+    return docs, items
+
+
+@pytest.mark.parametrize("slack", [0.6, 0.99])
+def test_few_documents_are_completed(spark, monkeypatch, slack):
+    docs, items = zipf_corpus(3)
+    seen, complete = [], lexical._complete
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return complete(pairs, *rest)
+
+    monkeypatch.setattr(lexical, "_complete", counted)
+    share = {} if slack == 0.6 else {"slack_share": slack}
+    found = lexical.search(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), k=5, **share)
+    assert sorted(tuple(r) for r in found.collect()) == brute(docs, items, 5)
+    if not share:
+        # Nearly every text holds a frequent term of every query; few can be among its best.
+        assert sum(seen) < len(docs) * len(items) / 8
