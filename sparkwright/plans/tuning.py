@@ -66,16 +66,23 @@ def bayes_grid(spark, d, label="toxic"):
     folded = P.stratified_kfold(train.select("doc_id", "label"), "label", "doc_id")
     held = docs.where("is_test = 1").select("doc_id", "label", F.lit(5).cast(folded.schema["fold"].dataType).alias("fold"))
     everyone = materialize(folded.unionByName(held), "nb-grid-folds")
-    toks = docs.select("doc_id", T.clean_tokens("text").alias("toks"))
-    counts = V.term_counts(toks, V.with_bigrams("toks"), ["doc_id"]).join(everyone, "doc_id")
-    counts = materialize(counts, "nb-grid-counts")
+    # The folds join a document's text, before it becomes many rows. An id may stand for
+    # several labelled rows: their words count together, and the counts for each of them.
+    who = everyone.groupBy("doc_id").agg(F.collect_list(F.struct("label", "fold")).alias("who"))
+    texts = labelled_docs(spark, d, label, by_key=True).select("doc_id", "text").join(who, "doc_id")
+    toks = texts.select("doc_id", "who", T.clean_tokens("text").alias("toks"))
+    counts = V.term_counts(toks, V.with_bigrams("toks"), ["doc_id", "who"])
+    counts = materialize(counts.select("doc_id", F.inline("who"), "term", "tf"), "nb-grid-counts")
+    # A term of a single training document is in no fold's vocabulary.
+    terms = S.fold_terms(counts.where("fold < 5"), range(5)).where("n >= 2")
+    terms = materialize(terms, "nb-grid-terms")
 
     def grid_oof(_):
-        out = S.nb_oof(counts.where("fold < 5"), everyone.where("fold < 5"), ALPHAS)
+        out = S.nb_oof(counts.where("fold < 5"), everyone.where("fold < 5"), ALPHAS, terms=terms)
         return out.withColumnRenamed("p1", "p")
 
     def refit(_, __, best):
-        out = S.nb_oof(counts, everyone, [best["alpha"]], k=6).where("fold = 5")
+        out = S.nb_oof(counts, everyone, [best["alpha"]], k=6, folds=[5], terms=terms)
         return out.withColumnRenamed("p1", "p")
 
     return S.grid_search_refit(train, held, grid_oof, refit, ["alpha"], "macro_f1")
