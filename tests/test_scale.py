@@ -44,3 +44,39 @@ def test_naive_bayes_weights_are_not_dealt(spark):
     # What is dealt by document has a count, and no weight, of each term.
     columns = ", ".join(rf"{c}#\d+L?" for c in ("doc_id", "label", "fold", "idx", "tf"))
     assert re.search(rf"RepartitionByExpression \[doc_id#\d+L?\]\n[^\n]*Project \[{columns}\]\n", plan)
+
+
+def _vector_rows(spark, n=80):
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(4)
+    rows = [(i, i % 2, int(i % 7 == 6), i // 2 % 5 if i % 7 < 6 else None, 1.0, Vectors.dense(rng.random(), i % 2 + rng.random())) for i in range(n)]
+    return spark.createDataFrame(rows, ["doc_id", "label", "is_test", "fold", "weight", "features"])
+
+
+def test_model_comparison_reports_from_tables_and_not_through_all_models(spark, monkeypatch):
+    from sparkwright.plans import explaining as E
+
+    plans, models = {}, E._classifiers
+
+    def noted(df, tag):
+        plans.setdefault(tag, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, tag)
+
+    monkeypatch.setattr(E, "materialize", noted)
+    monkeypatch.setattr(E, "_classifiers", lambda *a: {"Basic CART": models(*a)["Basic CART"]})
+    report = E.compare_models(spark, _vector_rows(spark)).collect()
+    assert len(report) == 1 and report[0].cv_roc_auc_mean is not None
+    # One job a fitted model; the job of the report's rows holds none.
+    assert "UDF" not in plans["model-scores"][0] and sum("UDF" in p for p in plans["fold-scores"]) >= 6
+
+
+def test_side_by_side_fits_are_bounded_by_their_rows(spark, monkeypatch):
+    from sparkwright.plans import explaining as E
+
+    rows = spark.range(100)
+    assert E._side_by_side(rows) == 4
+    monkeypatch.setattr(E, "FIT_ROWS", 250)
+    assert E._side_by_side(rows) == 2
+    monkeypatch.setattr(E, "FIT_ROWS", 50)
+    assert E._side_by_side(rows) == 1
