@@ -80,3 +80,52 @@ def test_side_by_side_fits_are_bounded_by_their_rows(spark, monkeypatch):
     assert E._side_by_side(rows) == 2
     monkeypatch.setattr(E, "FIT_ROWS", 50)
     assert E._side_by_side(rows) == 1
+
+
+def _corpus(tmp_path):
+    mails = {
+        "spam/1": b"Content-Type: text/plain\n\na", "spam/2": b"\nb", "spam/deep/spam_2/3": b"\nc",
+        "easy_ham 2/4": b"\nd", "easy_ham/5{x}": b"\ne", "easy_ham/cmds": b"mv", "easy_ham/_hidden": b"\nno",
+        "other/6": b"\nno", **{f"hard_ham/{i}": b"\n%d" % i for i in range(20, 31)},
+    }
+    for name, body in mails.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(body)
+    return str(tmp_path)
+
+
+def test_a_corpus_is_scanned_a_bounded_number_of_files_at_a_time(spark, tmp_path, monkeypatch):
+    from sparkwright.sources import files as X
+
+    root = _corpus(tmp_path)
+    whole = sorted(map(tuple, X.scan_labelled_corpus(spark, root).collect()))
+    assert len(whole) == 16
+    held, read = [], X._read_files
+
+    def noted(spark, paths, n=None):
+        out = read(spark, paths, n)
+        held.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(X, "_read_files", noted)
+    monkeypatch.setattr(X, "FILES_AT_ONCE", 4)
+    before = spark.conf.get(X.LISTING)
+    rows = X.scan_labelled_corpus(spark, root)
+    assert sorted(map(tuple, rows.collect())) == whole
+    assert len(held) > 3 and max(held) <= 4 and spark.conf.get(X.LISTING) == before
+    texts = sorted(r.text for r in X.mail_text_part(X.scan_labelled_corpus(spark, root, with_filename=False)).collect())
+    assert texts == sorted(["a", "b", "c", "d", "e", *map(str, range(20, 31))])
+
+
+@pytest.mark.parametrize("name", ["scan_labelled_corpus", "mail_text_part"])
+def test_mail_queries_are_the_same_from_folders_of_any_size(spark, sf, name, monkeypatch):
+    from sparkwright.plans import files as P
+    from sparkwright.plans.registry import QUERIES, load_all
+    from sparkwright.sources import files as X
+
+    load_all()
+    want = sorted(map(tuple, QUERIES[name](spark, sf).collect()))
+    monkeypatch.setattr(P, "FOLDER_MAILS", 30)
+    monkeypatch.setattr(X, "FILES_AT_ONCE", 50)
+    assert sorted(map(tuple, QUERIES[name](spark, sf).collect())) == want
