@@ -129,3 +129,56 @@ def test_mail_queries_are_the_same_from_folders_of_any_size(spark, sf, name, mon
     monkeypatch.setattr(P, "FOLDER_MAILS", 30)
     monkeypatch.setattr(X, "FILES_AT_ONCE", 50)
     assert sorted(map(tuple, QUERIES[name](spark, sf).collect())) == want
+
+
+def _sparse_frame(spark, n=150, terms=40):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    # Some terms are in most rows, most are in few; one row is empty, some are copies.
+    share = np.r_[np.full(4, 0.8), np.full(terms - 4, 0.04)]
+    x = rng.random((n, terms)) * (rng.random((n, terms)) < share)
+    x[7], x[60:70] = 0, x[3]
+    rows = [(i, [int(j) for j in np.flatnonzero(v)], [float(w) for w in v[v != 0]]) for i, v in enumerate(x)]
+    return x, spark.createDataFrame(rows, "id long, idx array<int>, w array<double>")
+
+
+@pytest.mark.parametrize("block_rows, products, common", [(8192, 2_000_000, 64), (20, 5, 2), (33, 7, 10**9)])
+@pytest.mark.parametrize("self_out", [False, True])
+def test_sparse_neighbours_are_exact_whatever_the_blocks(spark, monkeypatch, block_rows, products, common, self_out):
+    import numpy as np
+
+    from sparkwright.operators import neighbours as N
+
+    monkeypatch.setattr(N, "PRODUCTS", products)
+    monkeypatch.setattr(N, "COMMON_SHARE", common)
+    x, base = _sparse_frame(spark)
+    queries = base.where("id % 3 = 0").withColumnRenamed("id", "qid")
+    got = {(r.qid, r["rank"]): (r.id, r.dist) for r in N.knn_sparse(queries, base, 4, self_out, block_rows).collect()}
+    assert len(got) == 200
+    for q in range(0, 150, 3):
+        d = np.round(np.sqrt(((x - x[q]) ** 2).sum(1)), 6)
+        order = [j for j in np.lexsort((np.arange(150), d)) if not (self_out and j == q)][:4]
+        assert [got[q, i + 1][0] for i in range(4)] == order
+        assert [got[q, i + 1][1] for i in range(4)] == pytest.approx([d[j] for j in order], abs=2e-6)
+
+
+def test_sparse_neighbours_copy_neither_side(spark):
+    from sparkwright.operators import neighbours as N
+
+    _, base = _sparse_frame(spark)
+    found = N.knn_sparse(base.withColumnRenamed("id", "qid"), base, 3, block_rows=8192)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CoGroup" not in plan
+
+
+def test_sparse_neighbours_of_no_rows_and_of_rows_without_a_key(spark):
+    from sparkwright.operators import neighbours as N
+
+    _, base = _sparse_frame(spark, 40)
+    queries = base.withColumnRenamed("id", "qid")
+    assert N.knn_sparse(queries.limit(0), base, 3).count() == 0
+    assert N.knn_sparse(queries, base.limit(0), 3).count() == 0
+    none = base.select(F.lit(None).cast("long").alias("id"), "idx", "w")
+    want = sorted(map(tuple, N.knn_sparse(queries, base, 3).collect()))
+    assert sorted(map(tuple, N.knn_sparse(queries, base.unionByName(none), 3).collect())) == want
